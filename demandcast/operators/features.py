@@ -191,8 +191,8 @@ def lookback_windows(df: DataFrame, features: Sequence[str], y: str = "y", lookb
     ahead = F.array(*[F.lead(y, h).over(w) for h in range(1, horizon + 1)])
     rows = df.withColumns({
         "x": F.collect_list(vector).over(w.rowsBetween(-(lookback - 1), 0)),
-        "target": ahead,
-        "_left": F.count(F.lit(1)).over(w.rowsBetween(1, horizon)),
+        "target": ahead if horizon else F.array().cast("array<double>"),
+        "_left": F.count(F.lit(1)).over(w.rowsBetween(1, horizon)) if horizon else F.lit(0),
     })
     full = (F.size("x") == lookback) & (F.col("_left") == horizon)
     return rows.where(full).select(*key, time, "x", "target")

@@ -25,15 +25,11 @@ def unpivot_weather(df: DataFrame, payload: str = "payload", variables: Sequence
     if isinstance(df.schema[payload].dataType, T.StringType):
         df = df.withColumn(payload, F.from_json(payload, weather_schema(variables)))
     hourly = col(payload)["hourly"]
-    arrays = [hourly["time"].alias("time")] + [
-        F.coalesce(hourly[v], F.array().cast("array<double>")).alias(v) for v in variables]
-    rows = df.select(F.explode(F.arrays_zip(*arrays)).alias("r"))
-    # Field names of a zip of expressions are positions.
-    at = rows.select(F.date_trunc("hour", F.col("r")["0"].try_cast("timestamp")).alias("hour_utc"),
-                     *[F.col("r")[str(i + 1)].alias(v) for i, v in enumerate(variables)]) if "0" in rows.schema[
-        "r"].dataType.names else rows.select(
-        F.date_trunc("hour", F.col("r.time").try_cast("timestamp")).alias("hour_utc"),
-        *[F.col("r")[v].alias(v) for v in variables])
+    # One struct per hour, so the explode carries no arrays along.
+    hours = F.transform(hourly["time"], lambda t, i: F.struct(
+        t.alias("time"), *[F.get(hourly[v], i).alias(v) for v in variables]))
+    at = df.select(F.inline(hours)).select(
+        F.date_trunc("hour", F.col("time").try_cast("timestamp")).alias("hour_utc"), *[col(v) for v in variables])
     return at.where(F.col("hour_utc").isNotNull())
 
 
