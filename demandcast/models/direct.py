@@ -15,15 +15,15 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandcast.functions.columns import col, no_nan
-from demandcast.models.bands import residual_bands
 from demandcast.operators.clean import screen_features
 from demandcast.operators.features import add_labels, lookback_windows
 from demandcast.operators.splits import split_rows
-from demandcast.session import materialise
+from demandcast.session import materialise, scratch_path
 
 MISSING = -1.0e6  # trees see a missing input as its own far-away branch
 
@@ -81,62 +81,69 @@ def select_features(df: DataFrame, features: Sequence[str], origin: Row, horizon
     return [r.feature for r in union_top(first, last, k).collect()]
 
 
-def _run(tasks: Sequence, work: Callable, parallelism: int) -> list:
+def _run(tasks: Sequence, work: Callable, parallelism: int, spark: SparkSession) -> list:
     pool = ThreadPool(min(parallelism, max(len(tasks), 1)))
     try:
-        return pool.map(inheritable_thread_target(work), tasks)
+        return pool.map(inheritable_thread_target(spark)(work), tasks)
     finally:
         pool.close()
 
 
-def _collect_parts(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return materialise(out)
+def _stored(table: DataFrame, rows_per_task: int = 100_000) -> DataFrame:
+    """The training table, written once and read with as many tasks as its rows deserve.
 
-
-def _with_truth(panel: DataFrame, origins: DataFrame, predictions: DataFrame, y: str, key: Sequence[str], time: str,
-                model: str) -> DataFrame:
-    truth = split_rows(panel.select(*key, time, F.col(y).alias("y")), origins, "test", time).withColumn(
-        "_h", F.datediff(F.col(time), "test_start") + 1)
-    p = predictions.withColumnRenamed("h", "_h")
-    joined = truth.join(p, [*key, "origin_id", "_h"], "left")
-    return joined.select("origin_id", F.col(time).alias("date"), *key, F.col("_h").cast("int").alias("h"), "y", "yhat",
-                         "yhat_p10", "yhat_p90", F.lit(model).alias("model"))
+    Every fit runs tens of jobs over it, so a small table should not pay for idle tasks; a
+    large one keeps all its file splits.
+    """
+    stored = materialise(table)
+    return stored.coalesce(max(1, -(-stored.count() // rows_per_task)))
 
 
 def _backtest(panel: DataFrame, table: DataFrame, origins: DataFrame, fit: Callable, horizon: int, y: str,
               key: Sequence[str], time: str, model: str, log1p: bool, parallelism: int) -> DataFrame:
-    """Fit every (origin, horizon), forecast from the origin's last training day, add bands."""
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit every (origin, horizon), forecast from the origin's last training day, add bands.
+
+    Each task fits, scores its rows and writes one small row per series (forecast and residual
+    percentiles) under its own ``origin_id=../h=..`` folder; the folders read back as one table.
+    """
+    spark = panel.sparkSession
+    table = _stored(table).persist(StorageLevel.MEMORY_AND_DISK)
+    root = scratch_path(spark)
     try:
         # One row per origin: a handful of dates steers the driver threads.
         tasks = [(o, h) for o in origins.orderBy("origin_id").collect() for h in range(1, horizon + 1)]
 
-        def work(task) -> DataFrame | None:
+        def work(task) -> bool:
             origin, h = task
-            rows = training_rows(table, origin, h, time)
             label = F.log1p(f"y_{h}") if log1p else F.col(f"y_{h}")
-            train = rows.select(*key, time, "features", F.col(f"y_{h}").alias("_truth"), label.alias("label"))
+            train = training_rows(table, origin, h, time).select("features", label.alias("label"))
             fitted = fit(train)
             if fitted is None:
-                return None
-            back: Callable[[Column], Column] = F.expm1 if log1p else (lambda c: c)
-            center = back(F.col("prediction"))
-            residuals = fitted.transform(train).select(*key, (F.col("_truth") - center).alias("residual"))
-            start = table.where(F.col(time) == F.lit(origin.train_end)).select(*key, "features")
-            forecast = fitted.transform(start).select(
-                *key, F.lit(origin.origin_id).alias("origin_id"), F.lit(h).alias("h"), center.alias("yhat"))
-            return residual_bands(forecast, residuals, key)
-
-        parts = [p for p in _run(tasks, work, parallelism) if p is not None]
-        if not parts:
+                return False
+            scored = fitted.transform(table.where(F.col(time) <= F.lit(origin.train_end)))
+            center = F.expm1("prediction") if log1p else F.col("prediction")
+            trained = F.col(time) <= F.date_sub(F.lit(origin.train_end), h)
+            # A group holds one residual per training day of one series.
+            band = F.percentile(F.when(trained, F.col(f"y_{h}") - center), F.array(F.lit(0.1), F.lit(0.9)))
+            yhat = F.max(F.when(F.col(time) == F.lit(origin.train_end), center))
+            scored.groupBy(*key).agg(yhat.alias("yhat"), band.alias("_q")).select(
+                *key, "yhat", (F.col("yhat") + F.get("_q", F.lit(0))).alias("yhat_p10"),
+                (F.col("yhat") + F.get("_q", F.lit(1))).alias("yhat_p90"),
+            ).write.parquet(f"{root}/origin_id={origin.origin_id}/h={h}")
+            return True
+
+        if not any(_run(tasks, work, parallelism, spark)):
             raise ValueError("no origin has enough training rows")
-        predictions = _collect_parts(parts)
     finally:
         table.unpersist()
-    return _with_truth(panel, origins, predictions, y, key, time, model)
+    schema = T.StructType([panel.schema[k] for k in key] + [
+        T.StructField(c, T.DoubleType()) for c in ("yhat", "yhat_p10", "yhat_p90")] + [
+        T.StructField(c, T.IntegerType()) for c in ("origin_id", "h")])
+    predictions = spark.read.schema(schema).parquet(root)
+    truth = split_rows(panel.select(*key, time, F.col(y).alias("y")), origins, "test", time).withColumn(
+        "h", (F.datediff(F.col(time), "test_start") + 1).cast("int"))
+    return truth.join(predictions, [*key, "origin_id", "h"], "left").select(
+        "origin_id", F.col(time).alias("date"), *key, "h", "y", "yhat", "yhat_p10", "yhat_p90", F.lit(model).alias("model"))
 
 
 def boosted_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[str] | None = None, y: str = "y",

@@ -15,20 +15,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.operators.splits import training_origins
 
-
-def cross_products(x: Sequence[Column], y: Column) -> list[Column]:
-    """Upper triangle of x'x, then x'y, then y'y and the row count, as aggregates.
-
-    Rows where any value is missing are left out of every sum.
-    """
+def masked(x: Sequence[Column], y: Column) -> dict[str, Column]:
+    """Design and target as columns that are NULL together when any of them is missing."""
     complete = y.isNotNull()
     for c in x:
         complete = complete & c.isNotNull()
-    pairs = [x[i] * x[j] for i in range(len(x)) for j in range(i, len(x))]
-    terms = [*pairs, *[c * y for c in x], y * y, F.lit(1.0)]
-    return [F.coalesce(F.sum(F.when(complete, t)), F.lit(0.0)).alias(f"_g{k}") for k, t in enumerate(terms)]
+    return {**{f"_x{i}": F.when(complete, c) for i, c in enumerate(x)}, "_y": F.when(complete, y)}
+
+
+def cross_products(p: int) -> list[Column]:
+    """Upper triangle of x'x, then x'y, then y'y and the row count, over masked columns."""
+    x, y = [F.col(f"_x{i}") for i in range(p)], F.col("_y")
+    pairs = [x[i] * x[j] for i in range(p) for j in range(i, p)]
+    sums = [F.sum(t) for t in [*pairs, *[c * y for c in x], y * y]] + [F.count(y).cast("double")]
+    return [F.coalesce(t, F.lit(0.0)).alias(f"_g{k}") for k, t in enumerate(sums)]
 
 
 def solve_normal(p: int, ridge: float = 0.0):
@@ -69,19 +70,36 @@ def solve_normal(p: int, ridge: float = 0.0):
     return solve
 
 
-def fit_per_origin(rows: DataFrame, x: Sequence[Column], y: Column, key: Sequence[str],
-                   seg: Column, ridge: float = 0.0) -> DataFrame:
-    """Fits per series and origin: ``coef``, ``sigma`` and ``n``.
+def summarise_per_origin(rows: DataFrame, x: Sequence[Column], y: Column, key: Sequence[str], seg: Column,
+                         keep: dict[str, tuple[Column, Column, Column]] | None = None) -> DataFrame:
+    """Everything a linear forecaster needs, one row per series and origin, in one pass.
+
+    Rows are reduced per (series, segment) first; the few segment rows are then repeated for
+    each origin, where training segments add up their sums. ``keep`` collects small row lists
+    on the way: name -> (row condition, row struct, condition on ``_o`` for using a kept row's
+    segment). Only bounded lists belong there, such as the last few rows or the test rows.
 
-    ``rows`` carry ``_origins`` (the origin array); ``seg`` is the training segment.
+    ``rows`` carry ``_origins``. When they are already partitioned by the series key, none of
+    these steps needs another exchange.
     """
-    sums = rows.withColumn("_seg", seg).groupBy(*key, "_seg", "_origins").agg(*cross_products(x, y))
+    keep = keep or {}
+    sums = rows.withColumns({"_seg": seg, **masked(x, y)}).groupBy(*key, "_seg", "_origins").agg(
+        *cross_products(len(x)),
+        *[F.collect_list(F.when(cond, point)).alias(name) for name, (cond, point, _) in keep.items()])
     names = [c for c in sums.columns if c.startswith("_g")]
-    stacked = sums.withColumn("_o", F.explode(training_origins(F.col("_seg")))).groupBy(
-        *key, F.col("_o.origin_id").alias("origin_id")).agg(*[F.sum(c).alias(c) for c in names])
-    packed = F.array(*names)
-    solved = stacked.select(*key, "origin_id", solve_normal(len(x), ridge)(packed).alias("_f"))
-    return solved.select(*key, "origin_id", "_f.coef", "_f.sigma", "_f.n").where(F.col("coef").isNotNull())
+    # Origins are sorted, so the origin at position i trains on segments 0..i.
+    each = sums.select("*", F.posexplode("_origins").alias("_i", "_o"))
+    trains = F.col("_seg") <= F.col("_i")
+    return each.groupBy(*key, F.col("_o.origin_id").alias("origin_id"), F.col("_o.test_start").alias("test_start"),
+                        F.col("_o.test_end").alias("test_end")).agg(
+        F.array(*[F.sum(F.when(trains, F.col(c)).otherwise(F.lit(0.0))) for c in names]).alias("_packed"),
+        *[F.flatten(F.collect_list(F.when(use, F.col(name)))).alias(name) for name, (_, _, use) in keep.items()])
+
+
+def solve_packed(summary: DataFrame, p: int, ridge: float = 0.0) -> DataFrame:
+    """Replace the packed sums by ``coef``, ``sigma`` and ``n`` (NULL without a fit)."""
+    solved = summary.withColumn("_f", solve_normal(p, ridge)("_packed"))
+    return solved.select("*", "_f.coef", "_f.sigma", "_f.n").drop("_packed", "_f")
 
 
 def dot(coef: str, x: Sequence[Column]) -> Column:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from demandcast.constants import DEFAULT_FUTURE_EXOG, KNOWN_EXOG
 from demandcast.functions.columns import col
-from demandcast.models.linear import dot, fit_per_origin
+from demandcast.models.linear import dot, solve_packed, summarise_per_origin
 from demandcast.operators.clean import fill_both_ways
-from demandcast.operators.splits import origin_list, segment, testing_origins, training_origins
+from demandcast.operators.splits import ends_segment, origin_list, segment, testing_origins, training_origins
 
 Z80 = 1.2815515655446004  # half-width of an 80 % normal interval, in deviations
 
@@ -30,7 +30,7 @@ def prepare_series(panel: DataFrame, origins: DataFrame, regressors: Sequence[st
     """
     keep = panel.select(*key, time, F.col(y).cast("double").alias("y"), F.col(y).cast("double").alias("_v"),
                         *[col(c).cast("double").alias(c) for c in regressors])
-    series = Window.partitionBy(*key)
+    series = Window.partitionBy(*key).orderBy(time).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first_known = F.min(F.when(F.col("_v").isNotNull(), F.col(time))).over(series)
     rows = keep.withColumn("_ready", F.greatest(F.col(time), first_known))
     rows = fill_both_ways(rows, ["_v", *regressors], key, time).fillna(0.0, list(regressors))
@@ -42,10 +42,16 @@ def _forecast_schema(df: DataFrame, key: Sequence[str], time: str, model: str) -
                      "yhat_p10", "yhat_p90", F.lit(model).alias("model"))
 
 
-def _truth(rows: DataFrame, time: str) -> DataFrame:
-    hit = rows.withColumn("_o", F.explode(testing_origins(time)))
-    return hit.withColumns({"origin_id": F.col("_o.origin_id"),
-                            "h": F.datediff(F.col(time), F.col("_o.test_start")) + 1}).drop("_o")
+def _truth_rows(regressors: Sequence[str], time: str) -> tuple[Column, Column, Column]:
+    """Test rows to keep next to the sums: at most horizon rows per series and origin."""
+    x = F.array(*[col(c) for c in regressors]) if regressors else F.array().cast("array<double>")
+    point = F.struct(F.col(time).alias("d"), F.col("y").alias("y"), x.alias("x"))
+    return F.size(testing_origins(time)) > 0, point, F.lit(True)
+
+
+def _days_of_origin() -> Column:
+    """The kept test rows that fall into the origin's own window, by date."""
+    return F.sort_array(F.filter("_truth", lambda s: s["d"].between(F.col("test_start"), F.col("test_end"))))
 
 
 # --- additive -----------------------------------------------------------------------------
@@ -57,30 +63,37 @@ def additive_design(regressors: Sequence[str], time: str = "date", zero: str = "
             *[col(c) for c in regressors]]
 
 
-def fit_additive(rows: DataFrame, regressors: Sequence[str], key: Sequence[str] = ("product",),
-                 time: str = "date") -> DataFrame:
-    return fit_per_origin(rows, additive_design(regressors, time), F.col("_v"), key, F.col("_seg"))
-
-
 def additive_forecasts(panel: DataFrame, origins: DataFrame, regressors: Sequence[str] | None = None, y: str = "y",
                        key: Sequence[str] = ("product",), time: str = "date", model: str = "additive") -> DataFrame:
     """Backtest of the additive model with an 80 % band; series without a fit give NULLs."""
     regressors = known_regressors(panel.columns) if regressors is None else list(regressors)
     rows = prepare_series(panel, origins, regressors, y, key, time)
-    fits = fit_additive(rows, regressors, key, time)
-    scored = _truth(rows, time).join(fits, [*key, "origin_id"], "left")
-    yhat = dot("coef", additive_design(regressors, time))
-    return _forecast_schema(scored.withColumns({
+    design = additive_design(regressors, time)
+    fits = solve_packed(summarise_per_origin(rows, design, F.col("_v"), key, F.col("_seg"),
+                                             {"_truth": _truth_rows(regressors, time)}), len(design))
+    each = fits.withColumn("_day", F.explode(_days_of_origin())).withColumns({
+        time: F.col("_day.d"), "y": F.col("_day.y"), "h": F.datediff("_day.d", "test_start") + 1,
+        **{c: F.get("_day.x", F.lit(i)) for i, c in enumerate(regressors)}})
+    yhat = dot("coef", design)
+    return _forecast_schema(each.withColumns({
         "yhat": yhat, "yhat_p10": yhat - Z80 * F.col("sigma"), "yhat_p90": yhat + Z80 * F.col("sigma")}),
         key, time, model)
 
 
+def fit_additive(panel: DataFrame, origins: DataFrame, regressors: Sequence[str], y: str = "y",
+                 key: Sequence[str] = ("product",), time: str = "date") -> DataFrame:
+    """Coefficients of the additive model per series and origin."""
+    rows = prepare_series(panel, origins, regressors, y, key, time)
+    design = additive_design(regressors, time)
+    return solve_packed(summarise_per_origin(rows, design, F.col("_v"), key, F.col("_seg")), len(design))
+
+
 def additive_residuals(panel: DataFrame, origins: DataFrame, regressors: Sequence[str] | None = None, y: str = "y",
                        key: Sequence[str] = ("product",), time: str = "date") -> DataFrame:
     """Training residuals of the additive fit, per origin."""
     regressors = known_regressors(panel.columns) if regressors is None else list(regressors)
     rows = prepare_series(panel, origins, regressors, y, key, time)
-    fits = fit_additive(rows, regressors, key, time)
+    fits = fit_additive(panel, origins, regressors, y, key, time).select(*key, "origin_id", "coef")
     train = rows.where(F.col("y").isNotNull()).withColumn("_o", F.explode(training_origins(F.col("_seg")))).withColumn(
         "origin_id", F.col("_o.origin_id"))
     return train.join(fits, [*key, "origin_id"]).select(
@@ -89,26 +102,30 @@ def additive_residuals(panel: DataFrame, origins: DataFrame, regressors: Sequenc
 
 # --- seasonal autoregression --------------------------------------------------------------
 
-def fit_seasonal_ar(rows: DataFrame, regressors: Sequence[str], key: Sequence[str] = ("product",),
-                    time: str = "date", season: int = 7) -> DataFrame:
-    """Conditional least squares on lags 1 and ``season`` plus regressors."""
+def fit_seasonal_ar(panel: DataFrame, origins: DataFrame, regressors: Sequence[str], y: str = "y",
+                    key: Sequence[str] = ("product",), time: str = "date", season: int = 7) -> DataFrame:
+    """Conditional least squares on lags 1 and ``season`` plus regressors.
+
+    One row per series and origin: coefficients, the last ``season`` filled training values
+    (``tail``, oldest first), the last training date and the test rows. Lags, sums, tail and
+    test rows come from one pass over the panel partitioned by series.
+    """
+    rows = prepare_series(panel, origins, regressors, y, key, time)
     w = Window.partitionBy(*key).orderBy(time)
-    lagged = rows.withColumns({"_l1": F.lag("_v", 1).over(w), "_ls": F.lag("_v", season).over(w)})
+    lagged = rows.withColumns({"_l1": F.lag("_v", 1).over(w), "_ls": F.lag("_v", season).over(w),
+                               "_recent": ends_segment(w, season)})
     x = [F.lit(1.0), F.col("_l1"), F.col("_ls"), *[col(c) for c in regressors]]
-    return fit_per_origin(lagged, x, F.col("_v"), key, F.col("_seg"))
-
-
-def last_values(rows: DataFrame, key: Sequence[str], time: str = "date", season: int = 7) -> DataFrame:
-    """The newest ``season`` filled values per series and origin, oldest first."""
-    newest = Window.partitionBy(*key, "_seg").orderBy(F.col(time).desc())
-    few = rows.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= season)
-    each = few.withColumn("_o", F.explode(training_origins(F.col("_seg"))))
     point = F.struct(F.col(time).alias("d"), F.col("_v").alias("v"))
-    packed = each.groupBy(*key, F.col("_o.origin_id").alias("origin_id")).agg(
-        F.slice(F.sort_array(F.collect_list(point), False), 1, season).alias("_t"))
-    return packed.where(F.size("_t") == season).select(
-        *key, "origin_id", F.reverse(F.transform("_t", lambda s: s["v"])).alias("tail"),
-        F.get("_t", F.lit(0))["d"].alias("last_date"))
+    fits = solve_packed(summarise_per_origin(lagged, x, F.col("_v"), key, F.col("_seg"), {
+        "_truth": _truth_rows(regressors, time),
+        "_tail": (F.col("_recent"), point, F.col("_seg") <= F.col("_i")),
+    }), len(x))
+    recent = F.slice(F.sort_array("_tail", False), 1, season)
+    full = F.size("_tail") >= season
+    return fits.withColumns({
+        "tail": F.when(full, F.reverse(F.transform(recent, lambda s: s["v"]))),
+        "last_date": F.array_max(F.transform("_tail", lambda s: s["d"])), "_days": _days_of_origin(),
+    }).drop("_tail", "_truth")
 
 
 def iterate_ar(coef: Column, tail: Column, steps: Column, season: int = 7) -> Column:
@@ -142,19 +159,14 @@ def seasonal_ar_forecasts(panel: DataFrame, origins: DataFrame, regressors: Sequ
                           model: str = "seasonal_ar") -> DataFrame:
     """Backtest of the seasonal autoregression, iterated over the horizon, with an 80 % band."""
     regressors = known_regressors(panel.columns) if regressors is None else list(regressors)
-    rows = prepare_series(panel, origins, regressors, y, key, time)
-    fits = fit_seasonal_ar(rows, regressors, key, time, season).join(
-        last_values(rows, key, time, season), [*key, "origin_id"])
-    x = F.array(*[col(c) for c in regressors]) if regressors else F.array().cast("array<double>")
-    days = _truth(rows, time).groupBy(*key, "origin_id").agg(F.sort_array(F.collect_list(
-        F.struct(F.col("h").alias("h"), F.col(time).alias("d"), F.col("y").alias("y"), x.alias("x")))).alias("_days"))
-    scored = days.join(fits, [*key, "origin_id"], "left").withColumns({
+    fits = fit_seasonal_ar(panel, origins, regressors, y, key, time, season)
+    scored = fits.where(F.size("_days") > 0).withColumns({
         "_path": iterate_ar(F.col("coef"), F.col("tail"), F.transform("_days", lambda s: s["x"]), season),
         "_sd": ar_spread(F.col("coef"), F.col("sigma"), F.size("_days"), season),
     })
-    flat = scored.select(*key, "origin_id", "_path", "_sd", F.posexplode("_days").alias("_i", "_day"))
+    flat = scored.select(*key, "origin_id", "test_start", "_path", "_sd", F.posexplode("_days").alias("_i", "_day"))
     yhat, sd = F.get("_path", F.col("_i")), F.get("_sd", F.col("_i"))
-    out = flat.withColumns({time: F.col("_day.d"), "h": F.col("_day.h"), "y": F.col("_day.y"), "yhat": yhat,
+    out = flat.withColumns({time: F.col("_day.d"), "h": F.datediff("_day.d", "test_start") + 1, "y": F.col("_day.y"), "yhat": yhat,
                             "yhat_p10": yhat - Z80 * sd, "yhat_p90": yhat + Z80 * sd})
     return _forecast_schema(out, key, time, model)
 
@@ -170,9 +182,8 @@ def final_parameters(panel: DataFrame, origins: DataFrame, regressors: Sequence[
     the all-series model.
     """
     regressors = known_regressors(panel.columns) if regressors is None else list(regressors)
-    rows = prepare_series(panel, origins, regressors, y, key, time)
-    fits = fit_seasonal_ar(rows, regressors, key, time, season)
-    return fits.join(last_values(rows, key, time, season), [*key, "origin_id"]).select(
+    fits = fit_seasonal_ar(panel, origins, regressors, y, key, time, season)
+    return fits.where(F.col("coef").isNotNull() & F.col("tail").isNotNull()).select(
         F.lit("seasonal_ar").alias("model"), F.lit(version).alias("version"), *key, "coef", "sigma", "n", "tail",
         "last_date", F.array(*[F.lit(c) for c in regressors]).cast("array<string>").alias("regressors"))
 

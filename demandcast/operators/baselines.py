@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.operators.splits import origin_list, segment, testing_origins, training_origins
+from demandcast.operators.splits import ends_segment, origin_list, segment, testing_origins, training_origins
 
 BASELINES = ("naive1", "snaive7", "ma7")
 
@@ -31,8 +31,7 @@ def baseline_forecasts(panel: DataFrame, origins: DataFrame, y: str = "y", key:
     """
     rows = panel.select(*key, time, F.col(y).cast("double").alias("_y")).withColumn("_origins", origin_list(origins))
     rows = rows.withColumn("_seg", segment(time))
-    newest = Window.partitionBy(*key, "_seg").orderBy(F.col(time).desc())
-    rows = rows.withColumn("_r", F.row_number().over(newest))
+    rows = rows.withColumn("_recent", ends_segment(Window.partitionBy(*key).orderBy(time), season))
 
     def roles(which: Column, role: int) -> Column:
         return F.transform(which, lambda o: F.struct(
@@ -40,7 +39,7 @@ def baseline_forecasts(panel: DataFrame, origins: DataFrame, y: str = "y", key:
 
     none = F.filter(F.col("_origins"), lambda o: F.lit(False))
     uses = F.concat(
-        roles(F.when(F.col("_r") <= season, training_origins(F.col("_seg"))).otherwise(none), 0),
+        roles(F.when(F.col("_recent"), training_origins(F.col("_seg"))).otherwise(none), 0),
         roles(testing_origins(time), 1),
     )
     used = rows.withColumn("_u", F.explode(uses)).select(*key, time, "_y", "_u.origin_id", "_u.test_start", "_u.role")

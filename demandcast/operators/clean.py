@@ -168,12 +168,17 @@ def clip_series(df: DataFrame, y: str, q: float = 0.99, out: str | None = None)
 
 
 def fill_both_ways(df: DataFrame, columns: Sequence[str], key: Sequence[str] = ("product",), time: str = "date") -> DataFrame:
-    """Forward fill, then backward fill, inside each series."""
+    """Forward fill, then backward fill, inside each series.
+
+    What a forward fill leaves empty lies before the first known value, so the backward fill
+    is that one value: a whole-series frame, linear where a frame that starts at each row
+    would be quadratic.
+    """
     w = Window.partitionBy(*key).orderBy(time)
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.withColumns(
-        {c: F.coalesce(F.last(col(c), True).over(back), F.first(col(c), True).over(ahead)) for c in columns}
+        {c: F.coalesce(F.last(col(c), True).over(back), F.first(col(c), True).over(whole)) for c in columns}
     )
 
 

@@ -8,7 +8,7 @@ that may train on it, and per-origin results are built from those disjoint segme
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,15 @@ def segment(date: str, origins: str = "_origins") -> Column:
     return F.size(F.filter(origins, lambda o: o["train_end"] < F.col(date)))
 
 
+def ends_segment(date_window: WindowSpec, n: int, seg: str = "_seg") -> Column:
+    """True for the last ``n`` rows of each segment of a series.
+
+    Segments never decrease along a series, so looking ``n`` rows ahead is enough; the check
+    shares the series window instead of sorting each segment backwards.
+    """
+    return F.coalesce(F.lead(seg, n).over(date_window) != F.col(seg), F.lit(True))
+
+
 def training_origins(seg: Column, origins: str = "_origins") -> Column:
     """The origins a row of this segment may train."""
     return F.slice(F.col(origins), seg + 1, F.greatest(F.size(origins) - seg, F.lit(0)))

@@ -49,6 +49,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return known
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder for one written table."""
+    return f"{scratch_dir(spark)}/tables/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -57,6 +62,6 @@ def materialise(df: DataFrame) -> DataFrame:
     lineage. Parquet keeps column pruning and real size statistics for the join planner.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
