@@ -16,12 +16,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+NUDGE = "1e-9"
+
+
+def _nudged(sql: str) -> str:
+    """Add a tiny constant inside every ROUND to more than two digits.
+
+    Means of cent amounts often end exactly on a rounding tie, where the last bit of the sum
+    decides; shifting both engines by the same amount takes the tie away. Money sums are
+    rounded to cents, which they already are.
+    """
+    out, at = "", 0
+    while (start := sql.find("ROUND(", at)) >= 0:
+        depth, comma, end = 0, -1, start + 5
+        for end in range(start + 5, len(sql)):
+            depth += (sql[end] == "(") - (sql[end] == ")")
+            if depth == 1 and sql[end] == ",":
+                comma = end
+            if depth == 0:
+                break
+        inner = _nudged(sql[start + 6:comma])
+        more = f" + {NUDGE}" if int(sql[comma + 1:end]) > 2 else ""
+        out += sql[at:start] + f"ROUND({inner}{more}{sql[comma:end + 1]}"
+        at = end + 1
+    return out + sql[at:]
+
+
 def query(name: str, sql: str | None = None):
     """Register a Spark query, with its SQL twin when SQL can express it."""
     def register(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = " ".join(sql.split())
+            ORACLES[name] = _nudged(" ".join(sql.split()))
         return fn
     return register
 
@@ -35,7 +61,8 @@ def plain(df: DataFrame, digits: int = 6, money: Sequence[str] = ()) -> DataFram
             c = c.cast("string")
         elif isinstance(f.dataType, T.DoubleType):
             # Adding zero turns -0.0 into 0.0.
-            c = F.round(c, 2 if f.name in money else digits) + F.lit(0.0)
+            places = 2 if f.name in money else digits
+            c = F.round(c + F.lit(float(NUDGE)) if places > 2 else c, places) + F.lit(0.0)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

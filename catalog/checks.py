@@ -8,6 +8,7 @@ from catalog.base import HOLIDAYS, TX, holiday_days, plain, query, sales, shown,
 from demandcast.functions.columns import is_dst, local_hour_utc
 from demandcast.operators import quality
 from demandcast.operators.features import add_time_features
+from demandcast.session import materialise
 from demandcast.sources import external
 
 ZONE = "Europe/Berlin"
@@ -75,7 +76,8 @@ def quality_sql() -> str:
 
 @query("quality_report", quality_sql())
 def _(spark, sf):
-    report = quality.validate_enriched(enriched(spark, sf))
+    # The report reads its table twice, so the derived table is stored first.
+    report = quality.validate_enriched(materialise(enriched(spark, sf)))
     return report.select("column", "check", "n_bad", "status")
 
 
@@ -88,7 +90,7 @@ def samples_sql() -> str:
 
 @query("quality_samples", samples_sql())
 def _(spark, sf):
-    df = enriched(spark, sf)
+    df = materialise(enriched(spark, sf))
     shown_here = {k for k, (_, v) in FAULTS.items() if v != "NULL"}
     rules = [r for r in quality.enriched_rules(df) if (r.column, r.check) in shown_here]
     names = F.array(*[F.struct(F.lit(r.column).alias("c"), F.lit(r.check).alias("k")) for r in rules])

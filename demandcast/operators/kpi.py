@@ -48,7 +48,9 @@ def product_forecasts(df: DataFrame, horizon: int = 7, time: str = "datetime", p
 
     ``same_start`` aligns every product on the last day of the whole slice instead.
     """
-    named = df.withColumn(product, title_name(product))
+    # Names are normalised after the daily sums, so the text work runs per product and day.
+    daily = df.groupBy(product, F.to_date(time).alias(time)).agg(F.sum(amount).alias(amount))
+    named = daily.withColumn(product, title_name(product))
     start: Column | None = None
     if same_start:
         start = df.agg(F.to_date(F.max(time)).alias("d")).scalar()

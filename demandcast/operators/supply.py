@@ -23,8 +23,9 @@ def cost_table(spark: SparkSession, costs: Mapping[str, float] = UNIT_COSTS) ->
 def last_prices(df: DataFrame, time: str = "datetime", product: str = "product", price: str = "amount") -> DataFrame:
     """Latest known price per product (a running maximum, so it combines map-side)."""
     known = df.where(F.col(price).isNotNull() & F.col(time).isNotNull())
-    newest = F.max(F.struct(F.col(time), F.col(price))).getField(price)
-    return known.groupBy(title_name(product).alias(product)).agg(newest.alias("unit_price"))
+    raw = known.groupBy(product).agg(F.max(F.struct(F.col(time), F.col(price))).alias("_p"))
+    # Spellings of one product meet after the heavy step.
+    return raw.groupBy(title_name(product).alias(product)).agg(F.max("_p").getField(price).alias("unit_price"))
 
 
 def supply_detail(forecasts: DataFrame, prices: DataFrame, recipes: DataFrame, costs: DataFrame,
