@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from demandcast.functions.columns import percent_change, title_name
@@ -10,7 +10,10 @@ from demandcast.operators.baselines import mean7_forecast
 from demandcast.operators.metrics import panel_errors
 from demandcast.operators.rollup import daily_series
 
-_ALL = Window.partitionBy(F.lit(0))
+
+def _all_days() -> WindowSpec:
+    """The whole daily series, one row per calendar day."""
+    return Window.partitionBy(F.lit(0))
 
 
 def top_seller(df: DataFrame, product: str = "product", amount: str = "amount") -> DataFrame:
@@ -26,7 +29,7 @@ def kpi_row(df: DataFrame, time: str = "datetime", product: str = "product", amo
     row of zeros and 'N/A'.
     """
     daily = df.groupBy(F.to_date(time).alias("d")).agg(F.coalesce(F.sum(amount), F.lit(0.0)).alias("v"))
-    seen = daily.where(F.col("d").isNotNull()).withColumn("last", F.max("d").over(_ALL))
+    seen = daily.where(F.col("d").isNotNull()).withColumn("last", F.max("d").over(_all_days()))
     same_weekday = F.weekday("d") == F.weekday("last")
     sums = seen.agg(
         F.coalesce(F.sum(F.when(F.col("d") == F.col("last"), F.col("v"))), F.lit(0.0)).alias("revenue_last_day"),
@@ -74,7 +77,7 @@ def forecast_change(df: DataFrame, forecasts: DataFrame, horizon: int = 7, time:
     With fewer than 2H days the base is everything but the last H days.
     """
     real = daily_series(df, (), time, amount).withColumns({
-        "_back": F.row_number().over(_ALL.orderBy(F.desc("date"))), "_n": F.count(F.lit(1)).over(_ALL)})
+        "_back": F.row_number().over(_all_days().orderBy(F.desc("date"))), "_n": F.count(F.lit(1)).over(_all_days())})
     base = (F.col("_back") > horizon) & ((F.col("_n") < 2 * horizon) | (F.col("_back") <= 2 * horizon))
     previous = real.agg(F.sum(F.when(base, F.col(amount))).alias("v")).scalar()
     return forecasts.agg(F.sum("forecast").alias("total_forecast")).select(
@@ -91,7 +94,7 @@ def validation_view(df: DataFrame, horizon: int = 7, time: str = "datetime", pro
     no validation rows.
     """
     real = daily_series(df, (), time, amount).withColumns({
-        "_back": F.row_number().over(_ALL.orderBy(F.desc("date"))), "_n": F.count(F.lit(1)).over(_ALL)})
+        "_back": F.row_number().over(_all_days().orderBy(F.desc("date"))), "_n": F.count(F.lit(1)).over(_all_days())})
     test = real.where((F.col("_back") <= horizon) & (F.col("_n") > horizon)).select(
         "date", F.col(amount).alias("real"), (F.lit(horizon + 1) - F.col("_back")).alias("_pos"))
     history = daily_series(df, (product,), time, amount)
@@ -99,7 +102,7 @@ def validation_view(df: DataFrame, horizon: int = 7, time: str = "datetime", pro
         cut = real.agg(F.date_sub(F.max("date"), horizon).alias("d")).scalar()
         history = history.where(F.col("date") <= cut)
     totals = forecast_totals(mean7_forecast(history, horizon, amount, (product,)))
-    ranked = totals.select("forecast", F.row_number().over(_ALL.orderBy("date")).alias("_pos"))
+    ranked = totals.select("forecast", F.row_number().over(_all_days().orderBy("date")).alias("_pos"))
     return test.join(F.broadcast(ranked.where(F.col("_pos") <= horizon)), "_pos", "left").select(
         "date", "real", "forecast")
 
