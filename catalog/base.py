@@ -56,15 +56,15 @@ def plain(df: DataFrame, digits: int = 6, money: Sequence[str] = ()) -> DataFram
     """Dates and times as text, doubles rounded (money to cents)."""
     cols = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            c = c.cast("string")
+            c = f"CAST({c} AS STRING)"
         elif isinstance(f.dataType, T.DoubleType):
             # Adding zero turns -0.0 into 0.0.
             places = 2 if f.name in money else digits
-            c = F.round(c + F.lit(float(NUDGE)) if places > 2 else c, places) + F.lit(0.0)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            c = f"round({c}{f' + {NUDGE}D' if places > 2 else ''}, {places}) + 0D"
+        cols.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*cols)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

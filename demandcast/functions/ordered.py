@@ -10,39 +10,45 @@ from pyspark.sql import functions as F
 from demandcast.session import materialise
 
 
-def ordered_slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+def ordered_slices(df: DataFrame, order: Sequence[Column], slices: int | None = None) -> DataFrame:
     """Range-partition by ``order`` and tag each row with its slice number ``_slice``.
 
     Slices follow the order, are balanced by sampled bounds, and split even a hot leading
     value as long as a later order column tells its rows apart. The result is written once,
-    because slice totals and slice rows must come from the same bounds.
+    because slice totals and slice rows must come from the same bounds. ``slices`` overrides
+    the session's shuffle partition count.
     """
-    return materialise(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    return materialise(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
 def running_total(
-    df: DataFrame, order: Sequence[Column], values: dict[str, str], rank: str | None = None
+    df: DataFrame, order: Sequence[Column], values: dict[str, str], rank: str | None = None,
+    slices: int | None = None, totals: bool = False,
 ) -> DataFrame:
     """Add ``values[name] -> running sum of column name`` along a global total order.
 
     Each slice sums on its own; the totals of the slices before it (one row per slice) are
-    added. ``rank`` also numbers the rows from 1. ``order`` should be a total order.
+    added. ``rank`` also numbers the rows from 1; ``totals`` adds each grand total as
+    ``<name>_total``. ``order`` should be a total order.
     """
-    sliced = ordered_slices(df, order)
+    sliced = ordered_slices(df, order, slices)
     inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
-    totals = sliced.groupBy("_slice").agg(
+    everything = Window.partitionBy(F.lit(0))
+    per_slice = sliced.groupBy("_slice").agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.sum(c).alias(f"_sum_{out}") for c, out in values.items()],
     )
-    offsets = totals.select(
+    offsets = per_slice.select(
         "_slice",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows_before"),
         *[
             F.coalesce(F.sum(f"_sum_{out}").over(before), F.lit(0)).alias(f"_before_{out}")
             for out in values.values()
         ],
+        *[F.sum(f"_sum_{out}").over(everything).alias(f"{out}_total") for out in values.values() if totals],
     )
     # One row per slice of a range shuffle, so this side is never larger than the task count.
     joined = sliced.join(F.broadcast(offsets), "_slice")
@@ -66,12 +72,11 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame
         .groupBy(F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = running_total(counts, [F.col("_v")], {"_c": "_upto"})
-    total = ranked.agg(F.max("_upto").alias("n")).scalar()
+    ranked = running_total(counts, [F.col("_v")], {"_c": "_upto"}, totals=True)
     wanted = F.array(*[F.lit(float(q)) for q in qs])
     near = (
         ranked.withColumn("q", F.explode(wanted))
-        .withColumn("_pos", F.col("q") * (total - 1))
+        .withColumn("_pos", F.col("q") * (F.col("_upto_total") - 1))
         .withColumn("_low", F.floor("_pos"))
         .withColumn("_high", F.ceil("_pos"))
         .withColumn("_from", F.col("_upto") - F.col("_c"))
@@ -80,5 +85,5 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame
     return near.groupBy("q").agg(
         F.max(F.when((F.col("_from") <= F.col("_low")), F.col("_v"))).alias("_a"),
         F.max("_v").alias("_b"),
-        F.first(F.col("_pos") - F.col("_low")).alias("_w"),
+        F.max(F.col("_pos") - F.col("_low")).alias("_w"),
     ).select("q", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_w")).alias("value"))

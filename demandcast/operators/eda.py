@@ -174,10 +174,9 @@ def pareto_full(df: DataFrame, product: str = "product", amount: str = "amount")
     """Every product by revenue with its running share; products may be many, so the running
     sum is sliced."""
     sums = df.groupBy(product).agg(F.coalesce(F.sum(amount), F.lit(0.0)).alias(amount))
-    run = running_total(sums, [F.desc(amount), F.asc(product)], {amount: "_cum"}, "rank")
-    total = run.agg(F.sum(amount).alias("t")).scalar()
-    return run.select(product, amount, "rank", F.try_divide(F.col(amount), total).alias("share"),
-                      F.try_divide(F.col("_cum"), total).alias("cum_share"))
+    run = running_total(sums, [F.desc(amount), F.asc(product)], {amount: "_cum"}, "rank", totals=True)
+    return run.select(product, amount, "rank", F.try_divide(amount, "_cum_total").alias("share"),
+                      F.try_divide("_cum", "_cum_total").alias("cum_share"))
 
 
 def pareto_count(pareto: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandcast.constants import RECIPES, UNIT_COSTS
 from demandcast.functions.columns import title_name
+from demandcast.session import local_table
 
 
 def recipe_table(spark: SparkSession, recipes: Mapping[str, Mapping[str, float]] = RECIPES) -> DataFrame:
     rows = [(p, i, float(q)) for p, parts in recipes.items() for i, q in parts.items()]
-    return spark.createDataFrame(rows, "product string, ingredient string, qty double")
+    return local_table(spark, rows, product=pa.string(), ingredient=pa.string(), qty=pa.float64())
 
 
 def cost_table(spark: SparkSession, costs: Mapping[str, float] = UNIT_COSTS) -> DataFrame:
-    return spark.createDataFrame([(i, float(c)) for i, c in costs.items()], "ingredient string, unit_cost double")
+    rows = [(i, float(c)) for i, c in costs.items()]
+    return local_table(spark, rows, ingredient=pa.string(), unit_cost=pa.float64())
 
 
 def last_prices(df: DataFrame, time: str = "datetime", product: str = "product", price: str = "amount") -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,6 +25,8 @@ def build_session(app: str = "demandcast", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Recording a call site per column call dominates the building of wide plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for k, v in settings.items():
@@ -30,6 +34,17 @@ def build_session(app: str = "demandcast", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def local_table(spark: SparkSession, rows: Sequence[tuple], **types: pa.DataType) -> DataFrame:
+    """A small driver-side table (recipes, rule names) whose size the planner knows.
+
+    Rows handed over as Arrow become a local relation; plain Python rows would be an RDD of
+    unknown size, which joins by sort-merge.
+    """
+    schema = pa.schema(list(types.items()))
+    columns = list(zip(*rows)) if rows else [()] * len(types)
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(columns, types.values())], schema=schema))
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for cut points, from ``spark.checkpoint.dir``.
 

@@ -83,7 +83,7 @@ def test_hot_product_collapses_before_the_shuffle(spark):
 
 def test_bad_samples_limit_groups_before_the_shuffle(spark):
     df = spark.range(50_000)
-    rule = Rule("id", "odd", F.col("id") < 0, F.col("id").cast("string"), "never true")
+    rule = Rule("id", "odd", "id < 0", "CAST(id AS STRING)", "never true")
     out = bad_samples(df, [rule])
     assert "WindowGroupLimit" in plan(out)
     assert out.first().sample_bad_values == ["0", "1", "10", "100", "1000"]
