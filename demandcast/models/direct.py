@@ -14,7 +14,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +24,7 @@ from demandcast.operators.clean import screen_features
 from demandcast.operators.features import add_labels, lookback_windows
 from demandcast.operators.splits import split_rows
 from demandcast.session import materialise, scratch_path
+from demandcast.sources.writers import write_manifest
 
 MISSING = -1.0e6  # trees see a missing input as its own far-away branch
 
@@ -210,3 +211,46 @@ def sequence_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[
                                 solver="normal").fit(train)
 
     return _backtest(panel, table, origins, fit, horizon, y, key, time, model, False, parallelism)
+
+
+def save_final_boosted(panel: DataFrame, folder: str, version: str, features: Sequence[str] | None = None, y: str = "y",
+                       key: Sequence[str] = ("product",), time: str = "date", horizon: int = 7, max_iter: int = 20,
+                       max_depth: int = 4, log1p: bool = False, seed: int = 42, parallelism: int = 8) -> list[str]:
+    """Refit one model per horizon on the full history and store it with a manifest.
+
+    Models live under ``<folder>/final/<version>/h=<h>``. Returns the features used.
+    """
+    spark = panel.sparkSession
+    features = candidate_features(panel, y, (*key, time)) if features is None else list(features)
+    labelled = add_labels(panel, y, horizon, key, time)
+    table = _stored(assemble(labelled, features).select("features", *[f"y_{h}" for h in range(1, horizon + 1)]))
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def work(h: int) -> bool:
+        label = F.log1p(f"y_{h}") if log1p else F.col(f"y_{h}")
+        train = table.where(F.col(f"y_{h}").isNotNull()).select("features", label.alias("label"))
+        model = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
+        model.write().overwrite().save(f"{folder}/final/{version}/h={h}")
+        return True
+
+    try:
+        _run(range(1, horizon + 1), work, parallelism, spark)
+    finally:
+        table.unpersist()
+    write_manifest(spark, folder, "boosted_direct", version,
+                   {"features": features, "horizon": horizon, "log1p": log1p, "key": list(key), "time": time})
+    return features
+
+
+def score_final_boosted(panel: DataFrame, folder: str, version: str, features: Sequence[str], key: Sequence[str] = ("product",),
+                        time: str = "date", horizon: int = 7, log1p: bool = False) -> DataFrame:
+    """Forecast the days after each series' last row with the stored models."""
+    last = assemble(panel, features).groupBy(*key).agg(F.max(time).alias("_last"), F.max_by("features", time).alias("features"))
+    last = materialise(last)
+    out: DataFrame | None = None
+    for h in range(1, horizon + 1):
+        scored = GBTRegressionModel.load(f"{folder}/final/{version}/h={h}").transform(last)
+        value = F.expm1("prediction") if log1p else F.col("prediction")
+        part = scored.select(*key, F.date_add("_last", h).alias("date"), F.lit(h).alias("h"), value.alias("yhat"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -11,7 +11,9 @@ from demandcast.constants import DEFAULT_FUTURE_EXOG, KNOWN_EXOG
 from demandcast.functions.columns import col
 from demandcast.models.linear import dot, solve_packed, summarise_per_origin
 from demandcast.operators.clean import fill_both_ways
-from demandcast.operators.splits import ends_segment, origin_list, segment, testing_origins, training_origins
+from demandcast.operators.splits import (
+    ends_segment, final_origin, future_days, origin_list, segment, testing_origins, training_origins,
+)
 
 Z80 = 1.2815515655446004  # half-width of an 80 % normal interval, in deviations
 
@@ -88,6 +90,32 @@ def fit_additive(panel: DataFrame, origins: DataFrame, regressors: Sequence[str]
     return solve_packed(summarise_per_origin(rows, design, F.col("_v"), key, F.col("_seg")), len(design))
 
 
+def additive_outlook(panel: DataFrame, horizon: int = 7, regressors: Sequence[str] | None = None, y: str = "y",
+                     key: Sequence[str] = ("product",), time: str = "date", known: DataFrame | None = None) -> DataFrame:
+    """Refit on the full history and forecast the days after it, per series.
+
+    ``known`` supplies regressors of future days (key, date, regressors); without it the last
+    known values carry on.
+    """
+    regressors = known_regressors(panel.columns) if regressors is None else list(regressors)
+    origin = final_origin(panel, horizon, time)
+    fits = fit_additive(panel, origin, regressors, y, key, time).where(F.col("coef").isNotNull())
+    future = future_days(fits.select(*key, "coef", "sigma"), origin)
+    if regressors:
+        newest = panel.groupBy(*key).agg(*[F.max_by(col(c), F.when(col(c).isNotNull(), F.col(time))).alias(f"_{c}")
+                                           for c in regressors])
+        if known is not None:
+            future = future_regressors(future, known, regressors, key, time)
+        else:
+            future = future.withColumns({c: F.lit(None).cast("double") for c in regressors})
+        future = future.join(newest, list(key), "left").withColumns(
+            {c: F.coalesce(col(c).cast("double"), col(f"_{c}").cast("double"), F.lit(0.0)) for c in regressors})
+    yhat = dot("coef", additive_design(regressors, time))
+    out = future.withColumns({"y": F.lit(None).cast("double"), "yhat": yhat, "yhat_p10": yhat - Z80 * F.col("sigma"),
+                              "yhat_p90": yhat + Z80 * F.col("sigma")})
+    return _forecast_schema(out, key, time, "additive")
+
+
 def additive_residuals(panel: DataFrame, origins: DataFrame, regressors: Sequence[str] | None = None, y: str = "y",
                        key: Sequence[str] = ("product",), time: str = "date") -> DataFrame:
     """Training residuals of the additive fit, per origin."""

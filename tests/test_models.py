@@ -193,3 +193,48 @@ def test_all_families_share_one_schema(panel):
     assert fc.columns == ["origin_id", "date", "product", "h", "y", "yhat", "yhat_p10", "yhat_p90", "model", "family"]
     assert {r.family: r.n for r in fc.groupBy("family").agg(F.count("*").alias("n")).collect()} == {
         "baselines": 504, "additive": 168, "seasonal_ar": 168}
+
+
+def test_outlook_follows_the_history(panel):
+    got = series.additive_outlook(panel, 5, ["is_holiday"])
+    assert got.count() == 30 and got.where("yhat IS NULL OR yhat_p10 >= yhat").count() == 0
+    assert got.agg(F.min("date")).first()[0] == dt.date(2024, 1, 1) + dt.timedelta(days=260)
+    level = panel.groupBy("product").agg(F.avg("y").alias("m"))
+    assert got.join(level, "product").where("abs(yhat - m) > 20").count() == 0
+
+
+def test_final_boosted_round_trip(spark, panel, tmp_path):
+    feats = add_causal_features(panel)
+    names = ["y", "y_lag_7", "y_roll_7"]
+    args = dict(horizon=2, log1p=True)
+    assert direct.save_final_boosted(feats, str(tmp_path), "v1", names, max_iter=3, **args) == names
+    got = direct.score_final_boosted(feats, str(tmp_path), "v1", names, **args)
+    assert got.count() == 12 and got.where("yhat < 5 OR yhat > 50").count() == 0
+    from demandcast.sources.writers import list_versions
+
+    assert list_versions(spark, str(tmp_path)).first().version == "v1"
+
+
+def test_backtest_job_stores_everything(spark, panel, tmp_path):
+    from demandcast.plans.jobs import backtest_job
+
+    folder = str(tmp_path)
+    ranked = backtest_job(panel, folder, families=("baselines", "additive", "seasonal_ar")).orderBy("rank").collect()
+    assert len(ranked) == 3 and ranked[0].sMAPE <= ranked[-1].sMAPE
+    assert spark.read.json(f"{folder}/registry").first().best_model.name == ranked[0].family
+    assert spark.read.parquet(f"{folder}/forecasts").count() == 504 + 2 * 168
+    # A pooled family wins with all its members, as in the pooled forecast table.
+    assert spark.read.parquet(f"{folder}/winners_by_product_h").count() == 42
+    assert spark.read.parquet(f"{folder}/runs").where("key = 'MAE'").count() == 3
+
+
+def test_dashboard_bundle(spark, sf):
+    from catalog.base import sales
+    from catalog.business import COSTS, RECIPES
+    from demandcast.operators.supply import cost_table, recipe_table
+    from demandcast.plans.jobs import dashboard
+
+    got = dashboard(sales(spark, sf), recipe_table(spark, RECIPES), cost_table(spark, COSTS))
+    assert got["kpis"].count() == 1 and got["forecasts"].count() == 35 and got["validation"].count() == 7
+    fin = got["finance"].first()
+    assert fin.profit == pytest.approx(fin.revenue - fin.total_cost)
