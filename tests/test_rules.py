@@ -31,7 +31,7 @@ def forecast_frame(spark, pairs, model="m", h=1):
     return spark.createDataFrame(rows, "model string, h int, y double, yhat double, yhat_p10 double, yhat_p90 double")
 
 
-def reference_metrics(y, p):
+def numpy_metrics(y, p):
     """Plain numpy statement of the metric rules, NaN for missing."""
     y, p = np.array(y, float), np.array(p, float)
     ok = ~np.isnan(y) & ~np.isnan(p)
@@ -55,7 +55,7 @@ def test_metrics_follow_the_rules(spark, seed):
         p[rng.integers(0, 40, 3)] = np.nan
     pairs = [(None if math.isnan(a) else float(a), None if math.isnan(b) else float(b)) for a, b in zip(y, p)]
     got = one(metrics.metrics_overall(forecast_frame(spark, pairs)))
-    for k, want in reference_metrics(y, p).items():
+    for k, want in numpy_metrics(y, p).items():
         assert (got[k] is None) if math.isnan(want) else got[k] == pytest.approx(want), k
 
 
