@@ -119,8 +119,12 @@ def join_holiday_list(df: DataFrame, holidays: DataFrame, date: str = "date", ou
 
 
 def join_exogenous(df: DataFrame, exog: DataFrame, date: str = "date") -> DataFrame:
-    """Panel with a daily exogenous table; it is keyed by date, so the calendar bounds it."""
-    return df.join(F.broadcast(exog), date, "left")
+    """Panel with a daily exogenous table.
+
+    Keeping one row per date guards the panel against repeated rows and bounds the broadcast
+    by the calendar.
+    """
+    return df.join(F.broadcast(exog.dropDuplicates([date])), date, "left")
 
 
 def add_labels(df: DataFrame, y: str = "y", horizon: int = 7, key: Sequence[str] = ("product",),
