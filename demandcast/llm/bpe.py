@@ -19,6 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from demandcast.llm.common import map_arrow
+
 #: Splits text before merges are applied; a fixed value that ids depend on.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -134,7 +136,7 @@ def encode(df: DataFrame, path: str, text: str = "text", pattern: str = PATTERN,
         columns = [batch.column(i) for i in range(batch.num_columns - 1)]
         return pa.RecordBatch.from_arrays(columns + [pa.array(out[k], v) for k, v in made.items()], [*kept, *made])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "bytes", pattern: str = PATTERN) -> DataFrame:
@@ -150,4 +152,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "bytes", patte
             raw = [None if x is None else enc.decode_bytes(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], [*batch.schema.names, out])
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)

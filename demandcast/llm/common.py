@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandcast.session import materialise
@@ -17,6 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers find this package where the driver found it.
+
+    On a cluster the package is installed on the nodes or passed with ``--py-files``; the entry
+    added here matters to sessions that were started from another folder of the same machine.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = df.sparkSession.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
+    return df.mapInArrow(run, schema)
+
+
 def size_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate of a scan, used to size shuffles to the input."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
@@ -88,9 +103,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     rest = alone.join(labels.select("node"), "node", "left_anti")
     return labels.unionByName(rest.select("node", F.col("node").alias("component")))
 
-
-def sum_columns(cols: Sequence[Column]) -> Column:
-    total = F.lit(0)
-    for c in cols:
-        total = total + c
-    return total

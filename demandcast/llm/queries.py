@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandcast.llm import bpe
+from demandcast.llm import bpe, langid, neardup, urls
 from demandcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +37,86 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path(RANKS), pattern=public_tokenizers.PATTERN, keep=["doc_id"],
                       ids_sha="ids_sha256", decoded_sha="decoded_sha256")
+
+
+@query("op3_minhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by an LSH forest."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows of the held-out quarter teach nothing."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"), 4, 2)
+    model = langid.train(docs.where(~out))
+    return langid.identify(docs.select("doc_id", "text", out.alias("held_out")), model, keep=["doc_id", "held_out"])
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def _sql_rest(url: str) -> str:
+    return f"CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"
+
+
+def _sql_host(url: str) -> str:
+    return f"translate(regexp_extract({_sql_rest(url)}, '^([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}')"
+
+
+def _sql_path(url: str) -> str:
+    return f"regexp_extract({_sql_rest(url)}, '^[^/?#]*([^?#]*)', 1)"
+
+
+def _sql_node(url: str) -> str:
+    return (f"CASE WHEN instr({url}, '://') > 0 THEN {_sql_host(url)} || {_sql_path(url)} || "
+            f"regexp_extract({_sql_rest(url)}, '^[^?#]*(\\?[^#]*)', 1) END")
+
+
+def _sql_pattern(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _sql_resolve(t: str, url: str) -> str:
+    scheme = f"regexp_extract({url}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)"
+    base = f"{scheme} || '://' || {_sql_host(url)}"
+    folder = f"regexp_extract({_sql_path(url)}, '^(.*/)', 1)"
+    return (f"CASE WHEN coalesce({t}, '') = '' THEN NULL WHEN regexp_matches({t}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {t} "
+            f"WHEN starts_with({t}, '//') THEN {scheme} || ':' || {t} WHEN starts_with({t}, '/') THEN {base} || {t} "
+            f"ELSE {base} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || {t} END")
+
+
+def _sql_rules(source: str) -> str:
+    """Longest fitting rule of each row of ``source`` with columns (k, host, path)."""
+    return f"""SELECT s.k, arg_max(r.rule, (length(r.rule), r.action = 'allow', r.rule)) AS rule,
+ arg_max(r.action, (length(r.rule), r.action = 'allow', r.rule)) AS action
+ FROM {source} s JOIN rules r ON (s.host = r.rule_host OR ends_with(s.host, '.' || r.rule_host))
+ AND starts_with(s.path, r.rule_path) GROUP BY s.k"""
+
+
+URL_SQL = f"""WITH RECURSIVE rules(action, rule_host, rule_path, rule) AS (VALUES {", ".join(
+    f"('{a}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}')" for a, r in URL_RULES)}),
+base AS (SELECT page_id, row_number() OVER () AS k, coalesce({_sql_host('url')}, '') AS host,
+ coalesce({_sql_path('url')}, '') AS path, {_sql_node('url')} AS node FROM pages),
+own AS ({_sql_rules('base')}),
+tags AS (SELECT url, regexp_extract(regexp_extract(html, '{_sql_pattern(urls.CANONICAL_TAG)}', 0), '{_sql_pattern(urls.HREF)}', 1) AS c,
+ regexp_extract(regexp_extract(html, '{_sql_pattern(urls.REFRESH_TAG)}', 0), '{_sql_pattern(urls.REFRESH_URL)}', 1) AS r
+ FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+targets AS (SELECT url, replace(t, '&amp;', '&') AS t FROM (SELECT url, unnest([c, r]) AS t FROM tags)),
+links AS (SELECT url AS a, {_sql_resolve('t', 'url')} AS b FROM targets),
+ends AS (SELECT {_sql_node('u')} AS k, {_sql_host('u')} AS host, {_sql_path('u')} AS path
+ FROM (SELECT a AS u FROM links WHERE b IS NOT NULL UNION SELECT b FROM links WHERE b IS NOT NULL)),
+edges AS (SELECT DISTINCT s, d FROM (SELECT {_sql_node('a')} AS s, {_sql_node('b')} AS d FROM links WHERE b IS NOT NULL
+ UNION ALL SELECT {_sql_node('b')}, {_sql_node('a')} FROM links WHERE b IS NOT NULL) WHERE s <> d),
+reach AS (SELECT DISTINCT s AS n, s AS m FROM edges UNION SELECT reach.n, edges.d FROM reach JOIN edges ON reach.m = edges.s),
+decided AS ({_sql_rules('(SELECT DISTINCT * FROM ends WHERE k IS NOT NULL)')}),
+spread AS (SELECT reach.n, min(decided.action) AS action FROM reach JOIN decided ON decided.k = reach.m GROUP BY reach.n)
+SELECT base.page_id, base.host, base.path, own.rule, coalesce(own.action, spread.action, 'allow') AS verdict
+FROM base LEFT JOIN own ON own.k = base.k LEFT JOIN spread ON spread.n = base.node"""
+
+
+@query("op10_url_filters", URL_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
