@@ -34,7 +34,7 @@ def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
 
 def size_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate of a scan, used to size shuffles to the input."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hash_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:

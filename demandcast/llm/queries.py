@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import bpe, langid, neardup, urls
+from demandcast.llm import bpe, decontam, embdedup, langid, linededup, neardup, pii, toxicity, urls
 from demandcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,15 @@ def load():
     return QUERIES, ORACLES
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of the held-out third teach nothing."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~langid.held_out(F.col("doc_id"), 3, 1)))
+    marked = docs.select("doc_id", "text", langid.held_out(F.col("doc_id"), 3, 1).alias("held_out"))
+    return toxicity.score(marked, model, keep=["doc_id", "held_out"])
+
+
 @query("op2_byte_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and of the bytes they decode to, per document."""
@@ -45,6 +54,30 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_embedding_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Direct links and components of all embeddings at cosine 0.9."""
+    return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_fuzzy_line_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document with the first line of its component."""
+    return linededup.line_components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.summary(table(spark, sf_dir, "documents"))
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document, test item) pairs with at least four fifths of the item's shingles in the document."""
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; rows of the held-out quarter teach nothing."""
