@@ -52,12 +52,23 @@ def hash_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame
         F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.element_at("_m", i), F.lit(0))).alias("_fbits"))
 
 
-def keep_possible(big: DataFrame, key: str, flt: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows of ``big`` whose key may be among the filter's keys (no false negatives)."""
+def keep_possible(big: DataFrame, key: str, flt: DataFrame, bits: int = FILTER_BITS, others: bool = False) -> DataFrame:
+    """Rows of ``big`` whose key may be among the filter's keys (no false negatives), or all ``others``."""
     slot = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << bits))
-    hit = big.withColumn("_slot", slot).join(F.broadcast(flt), F.shiftright("_slot", 12) == F.col("_fchunk"))
+    hit = big.withColumn("_slot", slot).join(F.broadcast(flt), F.shiftright("_slot", 12) == F.col("_fchunk"), "left" if others else "inner")
     bit = F.expr("shiftright(element_at(_fbits, CAST(shiftright(_slot, 6) & 63 AS INT) + 1), CAST(_slot & 63 AS INT)) & 1")
-    return hit.where(bit == 1).drop("_slot", "_fchunk", "_fbits")
+    return hit.where(F.coalesce(bit, F.lit(0)) == (0 if others else 1)).drop("_slot", "_fchunk", "_fbits")
+
+
+def drop_keys(big: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Rows of ``big`` whose key is not among the first column of ``keys``; NULL keys stay.
+
+    Rows that the fixed-size filter clears, usually most, are never shuffled.
+    """
+    gone = materialise(keys.select(keys[keys.columns[0]].alias("_gone")).distinct())
+    flt = hash_filter(gone, "_gone")
+    maybe = keep_possible(big, key, flt)
+    return keep_possible(big, key, flt, others=True).unionByName(maybe.join(gone, maybe[f"`{key}`"] == gone["_gone"], "left_anti"))
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import hash_filter, keep_possible, size_bytes
+from demandcast.llm.common import drop_keys, hash_filter, keep_possible, size_bytes
 from demandcast.session import materialise
 
 WIDTH = 5
@@ -82,5 +82,4 @@ def _small(df: DataFrame) -> bool:
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """Documents that hold no test item, with all their columns; rows with a NULL key stay."""
-    held = contained_items(docs, items, text, key, **options).select(F.col(key).alias("_held")).distinct()
-    return docs.join(held, docs[f"`{key}`"] == held["_held"], "left_anti")
+    return drop_keys(docs, key, contained_items(docs, items, text, key, **options).select(key))

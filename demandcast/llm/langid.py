@@ -265,8 +265,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     Rows are independent; ``keep`` lists input columns to pass through (default: all).
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in (lang_pred, score, bits)]
-    source = docs.select(*[docs[f"`{c}`"] for c in kept], docs[f"`{text}`"].alias("_lid_text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    # A text that is passed through travels once.
+    extra = [] if text in kept else [docs[f"`{text}`"].alias("_lid_text")]
+    place = kept.index(text) if text in kept else len(kept)
+    source = docs.select(*[docs[f"`{c}`"] for c in kept], *extra)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:len(kept)]]
                        + [f"`{lang_pred}` string", f"`{score}` double", f"`{bits}` double"])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -285,7 +288,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
             held = 0
             for i in range(rows):
-                t = batch.column(len(kept))[i].as_py()
+                t = batch.column(place)[i].as_py()
                 if not m.langs or not t or not _LETTER.search(t):
                     continue
                 data = normal(t)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import connected_components, map_arrow
+from demandcast.llm.common import connected_components, hash_filter, keep_possible, map_arrow
 from demandcast.llm.shingles import mix
 from demandcast.session import materialise
 
@@ -315,11 +315,14 @@ def dedup_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     and empty texts among them. Only numbers of lost lines are joined to the documents.
     """
     lines = line_components(docs, text, key, similarity)
-    lost = lines.where(f"NOT kept AND `{key}` IS NOT NULL").groupBy(key).agg(F.collect_set("line_no").alias("_lost")).withColumnRenamed(key, "_key")
-    joined = docs.join(lost, docs[f"`{key}`"] == lost["_key"], "left")
+    lost = materialise(lines.where(f"NOT kept AND `{key}` IS NOT NULL").groupBy(key).agg(
+        F.collect_set("line_no").alias("_lost")).withColumnRenamed(key, "_key"))
+    flt = hash_filter(lost, "_key")
+    maybe = keep_possible(docs, key, flt)
+    joined = maybe.join(lost, maybe[f"`{key}`"] == lost["_key"], "left")
     parts = F.split(F.col(f"`{text}`"), "\n", -1)
-    left = F.filter(parts, lambda x, i: ~F.array_contains("_lost", i))
-    done = joined.withColumn("_left", F.when(F.col("_lost").isNotNull(), left))
+    done = joined.withColumn("_left", F.when(F.col("_lost").isNotNull(), F.filter(parts, lambda x, i: ~F.array_contains("_lost", i))))
     out = F.when(F.col("_lost").isNull(), F.col(f"`{text}`")).otherwise(F.array_join("_left", "\n"))
     fine = F.col("_lost").isNull() | F.exists("_left", lambda x: F.length(x) >= SHORTEST)
-    return done.where(fine).select(*[out.alias(c) if c == text else docs[f"`{c}`"] for c in docs.columns])
+    changed = done.where(fine).select(*[out.alias(c) if c == text else maybe[f"`{c}`"] for c in docs.columns])
+    return keep_possible(docs, key, flt, others=True).unionByName(changed)

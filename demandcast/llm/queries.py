@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import bpe, decontam, embdedup, langid, linededup, neardup, pii, toxicity, urls
+from demandcast.llm import bpe, decontam, embdedup, langid, linededup, lmscore, neardup, pii, toxicity, urls
 from demandcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,7 +29,10 @@ def query(name: str, sql: str | None = None):
 
 def load():
     """All queries and SQL twins of the subpackage and of the pipeline."""
-    return QUERIES, ORACLES
+    oracles = dict(ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, oracles
 
 
 @query("op1_toxicity")
@@ -72,6 +76,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
 
 
+@query("op7_lm_scoring")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all of them."""
+    return lmscore.score(table(spark, sf_dir, "documents"))
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(document, test item) pairs with at least four fifths of the item's shingles in the document."""
