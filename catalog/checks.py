@@ -163,6 +163,16 @@ def _(spark, sf):
     return plain(external.join_weather(shipping(spark, sf), weather))
 
 
+@query("weather_overlap_join", f"""WITH {SHIP}, {WEATHER}, twice AS (SELECT hour_utc, temperature_2m FROM wx UNION ALL SELECT hour_utc, temperature_2m + 1 FROM wx),
+ one AS (SELECT hour_utc, AVG(temperature_2m) AS temperature_2m FROM twice GROUP BY 1)
+ SELECT l_orderkey, l_linenumber, ROUND(temperature_2m, 6) AS wx_temperature_2m FROM ship LEFT JOIN one ON hour_utc = date_trunc('hour', datetime)""")
+def _(spark, sf):
+    """Two documents for every hour, one of them a degree warmer: no sale is repeated."""
+    once = external.unpivot_weather(weather_docs(spark, sf), variables=("temperature_2m",))
+    both = once.unionByName(once.withColumn("temperature_2m", F.col("temperature_2m") + 1))
+    return plain(external.join_weather(shipping(spark, sf), both).select("l_orderkey", "l_linenumber", "wx_temperature_2m"))
+
+
 @query("tx_holiday_join", f"WITH {SHIP}, {HOLIDAYS} SELECT l_orderkey, l_linenumber, CAST(datetime AS VARCHAR) AS datetime, CAST(CAST(datetime AS DATE) AS VARCHAR) AS date_local,"
        " h.date IS NOT NULL AS is_holiday, CASE WHEN h.date IS NOT NULL THEN 'Holiday ' || h.date END AS holiday_name FROM ship LEFT JOIN hol h ON h.date = CAST(datetime AS DATE)")
 def _(spark, sf):
@@ -187,6 +197,18 @@ def _(spark, sf):
     return plain(shipping(spark, sf).select("l_orderkey", "l_linenumber", local_hour_utc("datetime", ZONE).alias("hour_utc")))
 
 
+@query("local_weather_join", f"""WITH {SHIP}, {WEATHER}, {CLOCK}, hours AS (
+ SELECT l_orderkey, l_linenumber, CASE WHEN datetime >= a + INTERVAL 2 HOUR AND datetime < a + INTERVAL 3 HOUR THEN NULL
+ WHEN datetime >= s + INTERVAL 2 HOUR AND datetime < s + INTERVAL 3 HOUR THEN s + INTERVAL 1 HOUR
+ WHEN datetime >= s + INTERVAL 3 HOUR AND datetime < a + INTERVAL 2 HOUR THEN date_trunc('hour', datetime - INTERVAL 2 HOUR)
+ ELSE date_trunc('hour', datetime - INTERVAL 1 HOUR) END AS hour_utc FROM z)
+ SELECT l_orderkey, l_linenumber, ROUND(temperature_2m, 6) AS wx_temperature_2m FROM hours LEFT JOIN wx USING (hour_utc)""")
+def _(spark, sf):
+    """Local wall clocks across both clock changes; an ambiguous hour has no weather."""
+    weather = external.unpivot_weather(weather_docs(spark, sf), variables=("temperature_2m",))
+    return plain(external.join_weather(shipping(spark, sf), weather, zone=ZONE).select("l_orderkey", "l_linenumber", "wx_temperature_2m"))
+
+
 @query("dst_flag", f"""WITH {SHIP}, {CLOCK}
  SELECT l_orderkey, l_linenumber, datetime >= s + INTERVAL 1 HOUR AND datetime < a + INTERVAL 1 HOUR AS is_dst FROM z""")
 def _(spark, sf):

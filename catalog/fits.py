@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import PANEL0, exog, panel, plain, query, table
+from catalog.base import ORIGINS, PANEL0, exog, panel, plain, query, shown, table
 from catalog.panels import complete
 from demandcast.models import bands, direct, series
 from demandcast.operators import features as fe, selection, splits
@@ -29,6 +29,73 @@ def gated(p):
     return splits.history_gate(splits.rolling_origins(p))
 
 
+# --- models without regressors have closed forms that SQL can state --------------------------
+
+GATED = ORIGINS + ", gated AS (SELECT * FROM origins WHERE n_train_days >= 150)"
+DAYS = """te AS (SELECT o.origin_id, p.product, p.date, CAST(p.date - o.test_start + 1 AS INTEGER) AS h, p.y
+ FROM panel p JOIN gated o ON p.date BETWEEN o.test_start AND o.test_end)"""
+#: Trend by weekday-demeaned covariance over variance; the level of each weekday from its means.
+ADDITIVE = GATED + f""", {DAYS},
+ tr AS (SELECT o.origin_id, p.product, p.date, isodow(p.date) AS w, (p.date - DATE '2000-01-01') / 365.25 AS t, p.y FROM panel p JOIN gated o ON p.date <= o.train_end),
+ wk AS (SELECT origin_id, product, w, AVG(t) AS mt, AVG(y) AS my FROM tr GROUP BY 1, 2, 3),
+ dm AS (SELECT tr.*, t - mt AS dt, y - my AS dy FROM tr JOIN wk USING (origin_id, product, w)),
+ sl AS (SELECT origin_id, product, SUM(dt * dy) / SUM(dt * dt) AS b, SUM(dy * dy) - SUM(dt * dy) * SUM(dt * dy) / SUM(dt * dt) AS sse, COUNT(*) AS n FROM dm GROUP BY 1, 2),
+ ad AS (SELECT te.*, my + b * ((te.date - DATE '2000-01-01') / 365.25 - mt) AS yhat, SQRT(sse / (n - 8)) AS sigma
+ FROM te JOIN sl USING (origin_id, product) JOIN wk ON wk.origin_id = te.origin_id AND wk.product = te.product AND wk.w = isodow(te.date))"""
+#: Two centred normal equations for lags 1 and 7.
+AR = """lg AS (SELECT product, date, y, LAG(y, 1) OVER s AS a, LAG(y, 7) OVER s AS c FROM panel WINDOW s AS (PARTITION BY product ORDER BY date)),
+ ls AS (SELECT k.origin_id, product, y, a, c FROM lg JOIN ends k ON date <= k.train_end WHERE c IS NOT NULL),
+ mn AS (SELECT origin_id, product, AVG(y) AS my, AVG(a) AS ma, AVG(c) AS mc FROM ls GROUP BY 1, 2),
+ sm AS (SELECT origin_id, product, SUM((a - ma) * (a - ma)) AS aa, SUM((a - ma) * (c - mc)) AS ac, SUM((c - mc) * (c - mc)) AS cc,
+ SUM((a - ma) * (y - my)) AS ay, SUM((c - mc) * (y - my)) AS cy, SUM((y - my) * (y - my)) AS yy, COUNT(*) AS n, ANY_VALUE(my) AS my, ANY_VALUE(ma) AS ma, ANY_VALUE(mc) AS mc
+ FROM ls JOIN mn USING (origin_id, product) GROUP BY 1, 2),
+ be AS (SELECT *, (ay * cc - cy * ac) / (aa * cc - ac * ac) AS b1, (cy * aa - ay * ac) / (aa * cc - ac * ac) AS b7 FROM sm),
+ fit AS (SELECT *, my - b1 * ma - b7 * mc AS b0, SQRT((yy - b1 * ay - b7 * cy) / (n - 3)) AS sigma FROM be)"""
+BAND = "yhat, yhat - {z} * sigma AS yhat_p10, yhat + {z} * sigma AS yhat_p90".format(z=series.Z80)
+
+
+@query("additive_plain", f"WITH {PANEL0}, {ADDITIVE}, r AS (SELECT origin_id, date, product, h, y, {BAND} FROM ad) "
+       + shown("origin_id product h", "y yhat yhat_p10 yhat_p90", "r", digits=4, dates="date"))
+def _(spark, sf):
+    p = complete(spark, sf, True).drop("revenue")
+    return plain(series.additive_forecasts(p, gated(p), []).drop("model"), digits=4)
+
+
+@query("seasonal_ar_plain", f"""WITH RECURSIVE {PANEL0}, {GATED}, {DAYS}, ends AS (SELECT origin_id, train_end FROM gated), {AR},
+ back AS (SELECT k.origin_id, product, y, CAST(ROW_NUMBER() OVER (PARTITION BY k.origin_id, product ORDER BY date DESC) AS INTEGER) AS r FROM panel JOIN ends k ON date <= k.train_end),
+ path AS (SELECT f.origin_id, f.product, 1 AS h, b0 + b1 * one.y + b7 * old.y AS yhat FROM fit f
+ JOIN back one ON one.origin_id = f.origin_id AND one.product = f.product AND one.r = 1 JOIN back old ON old.origin_id = f.origin_id AND old.product = f.product AND old.r = 7
+ UNION ALL SELECT f.origin_id, f.product, p.h + 1, b0 + b1 * p.yhat + b7 * old.y FROM path p JOIN fit f ON f.origin_id = p.origin_id AND f.product = p.product
+ JOIN back old ON old.origin_id = f.origin_id AND old.product = f.product AND old.r = 7 - p.h WHERE p.h < 7),
+ sd AS (SELECT p.*, f.sigma * SQRT((SELECT SUM(POWER(f.b1, 2 * j)) FROM (SELECT UNNEST(generate_series(0, 6)) AS j) WHERE j < p.h)) AS sigma FROM path p JOIN fit f USING (origin_id, product)),
+ r AS (SELECT te.origin_id, date, te.product, te.h, y, {BAND} FROM te JOIN sd ON sd.origin_id = te.origin_id AND sd.product = te.product AND sd.h = te.h) """
+       + shown("origin_id product h", "y yhat yhat_p10 yhat_p90", "r", digits=4, dates="date"))
+def _(spark, sf):
+    p = complete(spark, sf, True).drop("revenue")
+    return plain(series.seasonal_ar_forecasts(p, gated(p), []).drop("model"), digits=4)
+
+
+@query("final_parameters_plain", f"""WITH {PANEL0}, ends AS (SELECT 1 AS origin_id, MAX(date) AS train_end FROM panel), {AR},
+ last AS (SELECT product, MAX(date) AS last_date FROM panel GROUP BY 1),
+ r AS (SELECT product, UNNEST([0, 1, 2]) AS term, UNNEST([b0, b1, b7]) AS value, sigma, last_date FROM fit JOIN last USING (product)) """
+       + shown("product term", "value sigma", "r", dates="last_date"))
+def _(spark, sf):
+    p = complete(spark, sf, True).drop("revenue")
+    fit = series.final_parameters(p, splits.final_origin(p), [])
+    return plain(fit.select("product", F.posexplode("coef").alias("term", "value"), "sigma", "last_date"))
+
+
+@query("residual_bands_plain", f"""WITH {PANEL0}, {ADDITIVE}, re AS (SELECT dm.origin_id, dm.product, dy - b * dt AS e FROM dm JOIN sl USING (origin_id, product)),
+ q AS (SELECT origin_id, product, quantile_cont(e, 0.1) AS lo, quantile_cont(e, 0.9) AS hi FROM re GROUP BY 1, 2),
+ r AS (SELECT ad.origin_id, ad.date, ad.product, ad.h, ad.y, ad.yhat, ad.yhat + lo AS yhat_p10, ad.yhat + hi AS yhat_p90 FROM ad JOIN q USING (origin_id, product)) """
+       + shown("origin_id product h", "y yhat yhat_p10 yhat_p90", "r", digits=4, dates="date"))
+def _(spark, sf):
+    p = complete(spark, sf, True).drop("revenue")
+    o = materialise(gated(p))
+    got = bands.residual_bands(series.additive_forecasts(p, o, []), series.additive_residuals(p, o, []), ["product", "origin_id"])
+    return plain(got.select("origin_id", "date", "product", "h", "y", "yhat", "yhat_p10", "yhat_p90"), digits=4)
+
+
 @query("fit_additive")
 def _(spark, sf):
     p = modelling_panel(spark, sf)
@@ -102,7 +169,11 @@ def _(spark, sf):
 def total_parameters(spark, sf):
     p = modelling_panel(spark, sf)
     total = daily_total(p, "y", REGRESSORS).withColumn("product", F.lit("total"))
-    total = materialise(total.withColumns({"wx_temperature_2m": F.lit(22.0), "wx_precipitation": F.lit(0.5), "wx_cloudcover": F.lit(40.0)}))
+    # Daily values of the orders stand in for weather: mean price, order count and mean customer number.
+    daily = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
+        (F.avg("o_totalprice") / 10000).alias("wx_temperature_2m"), F.count(F.lit(1)).cast("double").alias("wx_precipitation"),
+        (F.avg("o_custkey") / 10).alias("wx_cloudcover"))
+    total = materialise(total.join(daily, "date", "left"))
     return series.final_parameters(total, splits.final_origin(total), EXOG_FIELDS)
 
 

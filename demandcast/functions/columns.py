@@ -108,9 +108,12 @@ def local_date(utc: str | Column, zone: str) -> Column:
 
 
 def is_dst(utc: str | Column, zone: str) -> Column:
-    """True while the zone runs ahead of its own January offset."""
+    """True while the zone runs ahead of the smaller of its January and July offsets of that year."""
     utc = col(utc)
-    winter = F.date_trunc("year", utc)
-    offset = F.unix_seconds(F.from_utc_timestamp(utc, zone)) - F.unix_seconds(utc)
-    base = F.unix_seconds(F.from_utc_timestamp(winter, zone)) - F.unix_seconds(winter)
-    return offset > base
+
+    def offset(at: Column) -> Column:
+        return F.unix_seconds(F.from_utc_timestamp(at, zone)) - F.unix_seconds(at)
+
+    january = F.date_trunc("year", utc)
+    july = F.timestamp_add("MONTH", F.lit(6), january)
+    return offset(utc) > F.least(offset(january), offset(july))

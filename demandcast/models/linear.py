@@ -35,9 +35,11 @@ def cross_products(p: int) -> list[Column]:
 def solve_normal(p: int, ridge: float = 0.0):
     """Batched solver: packed sums to coefficients and residual deviation.
 
-    Columns are scaled to unit length first; directions without variation (a regressor that
-    never moves) get the minimum-norm answer, which is the fit without them. A series with no
-    more rows than coefficients yields NULL.
+    The first column is the intercept. The others and the target are centred per fit, columns
+    without variance (a regressor that never moves in training) get coefficient 0, and the rest
+    are scaled to unit length; among collinear ones the answer of least norm is taken. The
+    intercept is rebuilt from the means, so a constant regressor leaves the fit as it is without
+    it. A series with no more rows than free coefficients yields NULL.
     """
     upper = np.triu_indices(p)
 
@@ -49,16 +51,25 @@ def solve_normal(p: int, ridge: float = 0.0):
         xx[:, upper[0], upper[1]] = g[:, :k]
         xx[:, upper[1], upper[0]] = g[:, :k]
         xy, yy, n = g[:, k:k + p], g[:, k + p], g[:, k + p + 1]
-        scale = np.sqrt(np.einsum("nii->ni", xx))
-        scale[scale == 0] = 1.0
-        unit = xx / scale[:, :, None] / scale[:, None, :] + ridge * np.eye(p)
+        rows = np.maximum(n, 1.0)
+        mean, level = xx[:, 0, 1:] / rows[:, None], xy[:, 0] / rows
+        spread = xx[:, 1:, 1:] - rows[:, None, None] * mean[:, :, None] * mean[:, None, :]
+        joint = xy[:, 1:] - (rows * level)[:, None] * mean
+        total = np.maximum(yy - rows * level * level, 0.0)
+        square = np.einsum("nii->ni", xx[:, 1:, 1:])
+        moves = np.einsum("nii->ni", spread) > 1e-10 * np.maximum(square, 1e-300)
+        scale = np.sqrt(np.where(moves, np.einsum("nii->ni", spread), 1.0))
+        both = moves[:, :, None] & moves[:, None, :]
+        unit = np.where(both, spread / scale[:, :, None] / scale[:, None, :], 0.0) + ridge * np.eye(p - 1)
         values, vectors = np.linalg.eigh(unit)
-        used = values > 1e-10 * np.maximum(values[:, -1:], 1e-300)
+        used = values > 1e-10 * np.maximum(values.max(axis=1, keepdims=True, initial=0.0), 1e-300)
         inverse = np.where(used, 1.0 / np.where(used, values, 1.0), 0.0)
-        rotated = np.einsum("nij,ni->nj", vectors, xy / scale)
-        beta = np.einsum("nij,nj->ni", vectors, inverse * rotated) / scale
-        sse = np.maximum(yy - 2 * np.einsum("ni,ni->n", beta, xy) + np.einsum("ni,nij,nj->n", beta, xx, beta), 0.0)
-        free = n - used.sum(axis=1)
+        rotated = np.einsum("nij,ni->nj", vectors, np.where(moves, joint / scale, 0.0))
+        slope = np.where(moves, np.einsum("nij,nj->ni", vectors, inverse * rotated) / scale, 0.0)
+        beta = np.column_stack([level - np.einsum("ni,ni->n", slope, mean), slope])
+        sse = np.maximum(total - 2 * np.einsum("ni,ni->n", slope, joint)
+                         + np.einsum("ni,nij,nj->n", slope, spread, slope), 0.0)
+        free = n - 1 - used.sum(axis=1)
         fine = (free > 0) & np.isfinite(beta).all(axis=1)
         sigma = np.sqrt(sse / np.where(free > 0, free, 1.0))
         return pd.DataFrame({

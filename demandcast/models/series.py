@@ -15,6 +15,7 @@ from demandcast.operators.splits import (
     ends_segment, final_origin, future_days, origin_list, segment, testing_origins, training_origins,
 )
 
+DEFAULT_HORIZON = 7  # days of a request that names none
 Z80 = 1.2815515655446004  # half-width of an 80 % normal interval, in deviations
 
 
@@ -226,13 +227,15 @@ def score_requests(requests: DataFrame, parameters: DataFrame, regressors: Seque
     """Batch scoring: ``(request_id, key, horizon, exog)`` to predictions or an error.
 
     ``exog`` is an array of structs with the regressor fields, one per day, or NULL for the
-    default day repeated. A bad request keeps its row with ``error`` set.
+    default day repeated. A request without a horizon asks for ``DEFAULT_HORIZON`` days. A bad
+    request keeps its row with ``error`` set.
     """
+    requests = requests.withColumn("horizon", F.coalesce("horizon", F.lit(DEFAULT_HORIZON)))
     vectors = F.transform("exog", lambda e: F.array(*[e[c].cast("double") for c in regressors]))
     filled = F.when(F.col("exog").isNull(), F.array_repeat(
-        default_exog(regressors), F.least(F.greatest(F.coalesce("horizon", F.lit(0)), F.lit(0)), F.lit(max_horizon))
+        default_exog(regressors), F.least(F.greatest("horizon", F.lit(0)), F.lit(max_horizon))
     )).otherwise(vectors)
-    bad_horizon = F.col("horizon").isNull() | ~F.col("horizon").between(1, max_horizon)
+    bad_horizon = ~F.col("horizon").between(1, max_horizon)
     has_null = F.exists("_x", lambda v: F.exists(v, lambda e: e.isNull()))
     checked = requests.withColumn("_x", filled).join(parameters, list(key), "left")
     error = F.when(bad_horizon, F.lit(f"horizon must be 1..{max_horizon}")).when(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandcast.functions.columns import col, local_date, local_hour_utc
+from demandcast.session import materialise
 
 WEATHER_VARIABLES = ("temperature_2m", "relative_humidity_2m", "precipitation", "cloud_cover")
 HOLIDAY_SCHEMA = "array<struct<date:string,localName:string,counties:array<string>>>"
@@ -21,7 +22,10 @@ def weather_schema(variables: Sequence[str] = WEATHER_VARIABLES) -> T.StructType
 
 
 def unpivot_weather(df: DataFrame, payload: str = "payload", variables: Sequence[str] = WEATHER_VARIABLES) -> DataFrame:
-    """Parallel arrays under ``hourly`` to one row per UTC hour; a missing variable is NULL."""
+    """Parallel arrays under ``hourly`` to one row per UTC hour; a missing variable is NULL.
+
+    Where documents overlap, each variable of an hour is the mean of its known values.
+    """
     if isinstance(df.schema[payload].dataType, T.StringType):
         df = df.withColumn(payload, F.from_json(payload, weather_schema(variables)))
     hourly = col(payload)["hourly"]
@@ -30,7 +34,12 @@ def unpivot_weather(df: DataFrame, payload: str = "payload", variables: Sequence
         t.alias("time"), *[F.get(hourly[v], i).alias(v) for v in variables]))
     at = df.select(F.inline(hours)).select(
         F.date_trunc("hour", F.col("time").try_cast("timestamp")).alias("hour_utc"), *[col(v) for v in variables])
-    return at.where(F.col("hour_utc").isNotNull())
+    return weather_hours(at.where(F.col("hour_utc").isNotNull()))
+
+
+def weather_hours(weather: DataFrame) -> DataFrame:
+    """One row per hour: means of the known values, so that enriching never repeats a sale."""
+    return weather.groupBy("hour_utc").agg(*[F.avg(col(c)).alias(c) for c in weather.columns if c != "hour_utc"])
 
 
 def read_weather(spark, path: str, variables: Sequence[str] = WEATHER_VARIABLES) -> DataFrame:
@@ -65,10 +74,12 @@ def join_weather(df: DataFrame, weather: DataFrame, time: str = "datetime", zone
     """Rows with the weather of their hour.
 
     ``zone`` reads ``time`` as naive local wall clock; without it ``time`` is an instant. The
-    floor happens in UTC, which keeps it safe on clock changes. Weather is unique per hour,
-    so this is a plain equi join that AQE may broadcast or split when an hour is hot.
+    floor happens in UTC, which keeps it safe on clock changes. Weather is reduced to one row
+    per hour and written, so the planner sees its size: below the broadcast threshold the sales
+    stay where they are, above it AQE splits hot hours.
     """
     hour = local_hour_utc(time, zone) if zone else F.date_trunc("hour", col(time))
+    weather = materialise(weather_hours(weather))
     renamed = weather.select(F.col("hour_utc").alias("_hour_utc"),
                              *[col(c).alias(f"{prefix}{c}") for c in weather.columns if c != "hour_utc"])
     return df.withColumn("_hour_utc", hour).join(renamed, "_hour_utc", "left").drop("_hour_utc")

@@ -114,6 +114,24 @@ def test_constant_regressor_and_short_series(spark):
     assert len(rows) == 7 and all(r.yhat is None for r in rows)
 
 
+def test_a_regressor_that_never_moved_has_no_say(spark):
+    """A constant 22 in training and 30 in a request give the forecast of the fit without it."""
+    pdf = planted(1, 120)
+    p = spark.createDataFrame(pdf.assign(wx=22.0))
+    origin = splits.final_origin(p)
+    future = spark.createDataFrame([("p0", dt.date(2024, 1, 1) + dt.timedelta(days=120 + i), 30.0) for i in range(3)],
+                                   "product string, date date, wx double")
+    with_it = series.additive_outlook(p, 3, ["wx"], known=future).orderBy("date").select("yhat", "yhat_p10").collect()
+    without = series.additive_outlook(p, 3, []).orderBy("date").select("yhat", "yhat_p10").collect()
+    assert np.allclose(with_it, without)
+    fits = [series.final_parameters(p, origin, r) for r in (["wx"], [])]
+    request = "array(named_struct('wx', 30D), named_struct('wx', 30D))"
+    rows = spark.createDataFrame([(1, "p0", 2)], "request_id int, product string, horizon int")
+    a = series.score_requests(rows.withColumn("exog", F.expr(request)), fits[0], ["wx"]).first().predictions
+    b = series.score_requests(rows.withColumn("exog", F.expr("CAST(NULL AS array<struct<wx:double>>)")), fits[1], []).first().predictions
+    assert np.allclose(a, b)
+
+
 def test_solver_is_stable_on_collinear_columns(spark):
     rng = np.random.default_rng(0)
     x = np.column_stack([np.ones(50), rng.normal(size=50)])
@@ -184,7 +202,8 @@ def test_batch_scoring_validates(spark, panel):
     got = {r.request_id: r for r in series.score_requests(req, params, regs).collect()}
     assert len(got[1].predictions) == 7 and got[1].error is None and got[1].model_type == "seasonal_ar"
     assert len(got[5].predictions) == 2 and got[5].predictions[1] > got[5].predictions[0] - 15
-    for i in (2, 3, 4, 6, 7, 8):
+    assert got[8].horizon == 7 and got[8].predictions == got[1].predictions
+    for i in (2, 3, 4, 6, 7):
         assert got[i].predictions is None and got[i].error
 
 

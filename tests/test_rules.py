@@ -8,11 +8,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from demandcast.functions.columns import local_hour_utc, no_nan, parse_number
+from demandcast.functions.columns import is_dst, local_hour_utc, no_nan, parse_number
 from demandcast.functions.ordered import exact_quantiles, running_total
 from demandcast.operators import baselines, clean, eda, features, metrics, selection, splits
 from demandcast.operators.grid import complete_calendar
 from demandcast.operators.rollup import aggregate_transactions, daily_exogenous
+from demandcast.sources.external import join_weather
 
 D = dt.date
 
@@ -256,3 +257,16 @@ def test_pandas_twin_of_rollings(spark):
     for n in (3, 7, 30):
         assert np.allclose(got[f"y_roll_{n}"].astype(float), s.rolling(n, min_periods=1).mean(), equal_nan=True)
     assert np.allclose(got["y_vol_7"].astype(float), s.rolling(7, min_periods=1).std(), equal_nan=True)
+
+
+def test_summer_time_of_either_hemisphere(spark):
+    df = spark.sql("SELECT TIMESTAMP '2024-01-15 12:00:00' AS jan, TIMESTAMP '2024-07-15 12:00:00' AS jul")
+    for zone, want in (("Australia/Sydney", (True, False)), ("Europe/Kyiv", (False, True)), ("UTC", (False, False))):
+        assert tuple(df.select(is_dst("jan", zone), is_dst("jul", zone)).first()) == want
+
+
+def test_overlapping_weather_does_not_repeat_sales(spark):
+    sales = spark.sql("SELECT TIMESTAMP '2024-01-01 10:30:00' AS datetime, 5D AS amount")
+    hours = spark.sql("SELECT TIMESTAMP '2024-01-01 10:00:00' AS hour_utc, t AS temperature_2m FROM VALUES (1D), (3D), (NULL) AS v(t)")
+    rows = join_weather(sales, hours).collect()
+    assert [(r.amount, r.wx_temperature_2m) for r in rows] == [(5.0, 2.0)]
