@@ -54,10 +54,11 @@ def hash_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame
 
 def keep_possible(big: DataFrame, key: str, flt: DataFrame, bits: int = FILTER_BITS, others: bool = False) -> DataFrame:
     """Rows of ``big`` whose key may be among the filter's keys (no false negatives), or all ``others``."""
-    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << bits))
-    hit = big.withColumn("_slot", slot).join(F.broadcast(flt), F.shiftright("_slot", 12) == F.col("_fchunk"), "left" if others else "inner")
-    bit = F.expr("shiftright(element_at(_fbits, CAST(shiftright(_slot, 6) & 63 AS INT) + 1), CAST(_slot & 63 AS INT)) & 1")
-    return hit.where(F.coalesce(bit, F.lit(0)) == (0 if others else 1)).drop("_slot", "_fchunk", "_fbits")
+    slot = F.pmod(F.xxhash64(big[f"`{key}`"]), F.lit(1 << bits))
+    hit = big.join(F.broadcast(flt), F.shiftright(slot, 12) == flt["_fchunk"], "left" if others else "inner")
+    word = F.element_at(flt["_fbits"], (F.shiftright(slot, 6).bitwiseAND(63) + 1).cast("int"))
+    bit = F.call_function("shiftright", word, slot.bitwiseAND(63).cast("int")).bitwiseAND(1)
+    return hit.where(F.coalesce(bit, F.lit(0)) == (0 if others else 1)).select(*[big[f"`{c}`"] for c in big.columns])
 
 
 def drop_keys(big: DataFrame, key: str, keys: DataFrame) -> DataFrame:
