@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import TX, plain, query, sales, shown
 from catalog.sales import DAILY, TOTAL
+from demandcast.constants import UNIT_COSTS
 from demandcast.operators import clean, kpi, rollup, supply
 from demandcast.operators.baselines import mean7_forecast
 from demandcast.session import materialise
@@ -106,14 +107,13 @@ def _(spark, sf):
 
 # Dimensions of the supply queries: one product without a recipe, one ingredient without a cost.
 RECIPES = {
-    "Click": {"coffee_g": 18, "milk_ml": 150, "sugar_g": 10},
-    "Purchase": {"coffee_g": 18, "water_ml": 30, "cup": 1},
-    "Signup": {"milk_ml": 200, "chocolate_g": 25},
-    "View": {"coffee_g": 18, "water_ml": 100, "sugar_g": 5},
+    "Click": {"coffee_g": 7, "milk_ml": 90, "sugar_g": 3},
+    "Purchase": {"coffee_g": 11, "water_ml": 45, "cup": 1},
+    "Signup": {"milk_ml": 130, "chocolate_g": 12},
+    "View": {"coffee_g": 9, "water_ml": 75, "sugar_g": 2},
 }
-COSTS = {"coffee_g": 1.0, "milk_ml": 0.04, "water_ml": 0.001, "chocolate_g": 0.4, "sugar_g": 0.05}
 _R = ", ".join(f"('{p}', '{i}', {float(q)})" for p, r in RECIPES.items() for i, q in r.items())
-_C = ", ".join(f"('{i}', {c})" for i, c in COSTS.items())
+_C = ", ".join(f"('{i}', {c})" for i, c in UNIT_COSTS.items())
 SUPPLY = f"""{NAMED}, rec(product, ingredient, qty) AS (VALUES {_R}), cost(ingredient, unit_cost) AS (VALUES {_C}),
  price AS (SELECT upper(product[1]) || product[2:] AS product, CASE WHEN product = 'signup' THEN 0.0 ELSE arg_max(amount, datetime) END AS unit_price FROM tx GROUP BY tx.product),
  dem AS (SELECT product, SUM(forecast) AS revenue FROM pf GROUP BY 1),
@@ -127,7 +127,7 @@ def needs(spark, sf):
     prices = supply.last_prices(df).withColumn(
         "unit_price", F.when(F.col("product") == "Signup", 0.0).otherwise(F.col("unit_price")))
     return supply.supply_detail(kpi.product_forecasts(df), prices, supply.recipe_table(spark, RECIPES),
-                                supply.cost_table(spark, COSTS))
+                                supply.cost_table(spark, UNIT_COSTS))
 
 
 @query("supply_detail", f"WITH {SUPPLY} " + shown("product ingredient", "units quantity unit_cost total_cost", "det", money="revenue"))

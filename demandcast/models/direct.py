@@ -90,16 +90,6 @@ def _run(tasks: Sequence, work: Callable, parallelism: int, spark: SparkSession)
         pool.close()
 
 
-def _stored(table: DataFrame, rows_per_task: int = 100_000) -> DataFrame:
-    """The training table, written once and read with as many tasks as its rows deserve.
-
-    Every fit runs tens of jobs over it, so a small table should not pay for idle tasks; a
-    large one keeps all its file splits.
-    """
-    stored = materialise(table)
-    return stored.coalesce(max(1, -(-stored.count() // rows_per_task)))
-
-
 def _backtest(panel: DataFrame, table: DataFrame, origins: DataFrame, fit: Callable, horizon: int, y: str,
               key: Sequence[str], time: str, model: str, log1p: bool, parallelism: int) -> DataFrame:
     """Fit every (origin, horizon), forecast from the origin's last training day, add bands.
@@ -108,7 +98,7 @@ def _backtest(panel: DataFrame, table: DataFrame, origins: DataFrame, fit: Calla
     percentiles) under its own ``origin_id=../h=..`` folder; the folders read back as one table.
     """
     spark = panel.sparkSession
-    table = _stored(table).persist(StorageLevel.MEMORY_AND_DISK)
+    table = materialise(table).persist(StorageLevel.MEMORY_AND_DISK)
     root = scratch_path(spark)
     try:
         # One row per origin: a handful of dates steers the driver threads.
@@ -159,8 +149,7 @@ def boosted_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[s
     def fit(train: DataFrame):
         if train.isEmpty():
             return None
-        return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed,
-                            subsamplingRate=0.9).fit(train)
+        return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
 
     return _backtest(panel, table, origins, fit, horizon, y, key, time, model, log1p, parallelism)
 
@@ -173,20 +162,21 @@ def glm_grid_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[
     features = candidate_features(panel, y, (*key, time)) if features is None else list(features)
     table = assemble(add_labels(panel, y, horizon, key, time), features, missing=0.0).select(
         *key, time, "features", *[f"y_{h}" for h in range(1, horizon + 1)])
-    grid: list[dict] = [dict(family="poisson", link="log")] if poisson else []
-    grid += [dict(family="tweedie", variancePower=float(p), linkPower=0.0) for p in powers]
+    objectives: list[dict] = [dict(family="poisson", link="log")] if poisson else []
+    objectives += [dict(family="tweedie", variancePower=float(p), linkPower=0.0) for p in powers]
 
     def fit(train: DataFrame):
         if train.isEmpty():
             return None
-        best, best_mae = None, float("inf")
-        for options in grid:
-            fitted = GeneralizedLinearRegression(
-                featuresCol="features", labelCol="label", regParam=reg, maxIter=15, **options).fit(train)
-            error = fitted.transform(train).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0]
-            if error is not None and error < best_mae:
-                best, best_mae = fitted, error
-        return best
+        fits = [GeneralizedLinearRegression(featuresCol="features", labelCol="label", predictionCol=f"_p{i}", regParam=reg,
+                                            maxIter=50, **o).fit(train) for i, o in enumerate(objectives)]
+        # All candidates are scored side by side, so their errors come from one pass.
+        side = train
+        for f in fits:
+            side = f.transform(side)
+        errors = side.agg(*[F.avg(F.abs(F.col("label") - F.col(f"_p{i}"))) for i in range(len(fits))]).first()
+        known = [(e, i) for i, e in enumerate(errors) if e is not None]
+        return fits[min(known)[1]].setPredictionCol("prediction") if known else None
 
     return _backtest(panel, table, origins, fit, horizon, y, key, time, model, False, parallelism)
 
@@ -223,7 +213,7 @@ def save_final_boosted(panel: DataFrame, folder: str, version: str, features: Se
     spark = panel.sparkSession
     features = candidate_features(panel, y, (*key, time)) if features is None else list(features)
     labelled = add_labels(panel, y, horizon, key, time)
-    table = _stored(assemble(labelled, features).select("features", *[f"y_{h}" for h in range(1, horizon + 1)]))
+    table = materialise(assemble(labelled, features).select("features", *[f"y_{h}" for h in range(1, horizon + 1)]))
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
 
     def work(h: int) -> bool:

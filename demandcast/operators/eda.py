@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from demandcast.functions.columns import col
 from demandcast.functions.ordered import exact_quantiles, running_total
 from demandcast.operators.features import trailing_mean
 from demandcast.operators.rollup import AGGREGATES
+from demandcast.session import local_table, materialise
 
 
 def _every(df: DataFrame, n: int, name: str) -> DataFrame:
@@ -99,6 +101,7 @@ def histogram(df: DataFrame, value: str = "amount", bins: int = 30) -> DataFrame
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).cast("double").alias("lo"),
                        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).cast("double").alias("hi"))
+    ends = materialise(ends)
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
     bin_no = F.least(F.width_bucket(F.col(value).cast("double"), lo, hi, F.lit(bins)), F.lit(bins))
     counts = df.where(F.col(value).isNotNull()).groupBy(bin_no.cast("int").alias("bin")).agg(
@@ -127,13 +130,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct values per column, one row each; every branch is its own two-step count."""
-    parts = [df.select(col(c)).where(col(c).isNotNull()).distinct().agg(
-        F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_distinct")) for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Distinct values per column, one row each, from one scan; values are compared as text."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("_value")) for c in columns])
+    found = df.select(F.inline(cells)).where("_value IS NOT NULL").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    names = local_table(df.sparkSession, [(c,) for c in columns], column=pa.string())
+    return names.join(found, "column", "left").select("column", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
 
 
 def filter_options(df: DataFrame, column: str) -> DataFrame:
@@ -212,8 +213,9 @@ def product_shares(df: DataFrame, top_n: int = 6, smooth: int = 7, time: str = "
     """
     daily = df.where(F.col(time).isNotNull()).groupBy(F.to_date(time).alias("date"), col(product)).agg(
         F.coalesce(F.sum(amount), F.lit(0.0)).alias("_v"))
+    daily = materialise(daily)
     days = daily.groupBy("date").agg(F.sum("_v").alias("_total"))
-    names = top_products(df.where(col(product).isNotNull()), top_n, product, amount).agg(
+    names = top_products(daily.where(col(product).isNotNull()), top_n, product, "_v").agg(
         F.collect_list(product).alias("p")).scalar()
     cells = days.withColumn(product, F.explode(names)).join(daily, ["date", product], "left")
     share = F.try_divide(F.coalesce("_v", F.lit(0.0)), F.nullif("_total", F.lit(0.0)))

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandcast.constants import (
     DAILY_EXOG, DAILY_LAGS, DAILY_ROLLS, MONTHLY_EXOG, MONTHLY_LAGS, MONTHLY_ROLLS,
@@ -121,10 +122,12 @@ def join_holiday_list(df: DataFrame, holidays: DataFrame, date: str = "date", ou
 def join_exogenous(df: DataFrame, exog: DataFrame, date: str = "date") -> DataFrame:
     """Panel with a daily exogenous table.
 
-    Keeping one row per date guards the panel against repeated rows and bounds the broadcast
-    by the calendar.
+    Where a date has several rows, each column takes its largest known value. One row per date
+    guards the panel against repeated rows and, for a column of dates, bounds the broadcast by
+    the calendar; a finer time is left to the planner.
     """
-    return df.join(F.broadcast(exog.dropDuplicates([date])), date, "left")
+    daily = exog.groupBy(date).agg(*[F.max(col(c)).alias(c) for c in exog.columns if c != date])
+    return df.join(F.broadcast(daily) if isinstance(exog.schema[date].dataType, T.DateType) else daily, date, "left")
 
 
 def add_labels(df: DataFrame, y: str = "y", horizon: int = 7, key: Sequence[str] = ("product",),
@@ -227,8 +230,11 @@ def fit_scaler(df: DataFrame, features: Sequence[str], group: Sequence[str] = ()
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, features: Sequence[str]) -> DataFrame:
     """Standardise with a one-row scaler; a zero deviation divides by one."""
+    # One row as one value: however many features read it, the subquery runs once.
+    row = scaler.select(F.struct(*[col(c) for c in scaler.columns])).scalar()
+
     def part(name: str) -> Column:
-        return scaler.select(col(name)).scalar()
+        return row[name]
 
     def unit(c: str) -> Column:
         std = part(f"std_{c}")

@@ -72,29 +72,29 @@ def enriched_rules(df: DataFrame, payment_types: Sequence[str] = K.PAYMENT_TYPES
 
     for c in ("date", "_date_local"):
         if c in have:
-            add(c, "iso_date_string", matches(c, K.ISO_DATE), "YYYY-MM-DD format")
+            add(c, "iso_date_string", matches(c, K.ISO_DATE), "a calendar day written year-month-day")
     for c in ("datetime", "dt_local"):
         if c in have:
-            add(c, "iso_datetime_with_tz", matches(c, K.ISO_DATETIME_TZ), "ISO datetime with timezone")
+            add(c, "iso_datetime_with_tz", matches(c, K.ISO_DATETIME_TZ), "date and time followed by an offset")
     if "cash_type" in have:
-        add("cash_type", "allowed_values", f"`cash_type` IN ({_names(payment_types)})", f"Allowed: {sorted(payment_types)}")
+        add("cash_type", "allowed_values", f"`cash_type` IN ({_names(payment_types)})", f"one of {', '.join(sorted(payment_types))}")
     if "card" in have:
         add("card", "anonymized_pattern", f"`card` IS NULL OR {matches('card', K.ANONYMISED_CARD)}",
-            "Matches ANON-0000-0000-0000 or empty when not applicable")
+            "no value, or a masked card number")
     if "money" in have:
-        add("money", "numeric_non_negative", f"({_number(df, 'money')}) >= 0", ">= 0")
+        add("money", "numeric_non_negative", f"({_number(df, 'money')}) >= 0", "a number that is not below zero")
     for c in K.INTEGER_COLUMNS:
         if c in have:
-            add(c, "integer_like", f"({_number(df, c)}) % 1 = 0", "All integer-like values")
+            add(c, "integer_like", f"({_number(df, c)}) % 1 = 0", "a number without a fraction")
     for c in K.FLOAT_COLUMNS:
         if c in have:
-            add(c, "numeric", f"({_number(df, c)}) IS NOT NULL", "All numeric")
+            add(c, "numeric", f"({_number(df, c)}) IS NOT NULL", "readable as a number")
     for c, (lo, hi) in K.VALUE_RANGES.items():
         if c in have:
-            within(c, "value_range", lo, hi, f"In [{lo}, {hi}]")
+            within(c, "value_range", lo, hi, f"from {lo} to {hi}")
     for c in ("month_sin", "month_cos", "hour_sin", "hour_cos"):
         if c in have:
-            within(c, "trig_range", -1.0000001, 1.0000001, "In [-1, 1]")
+            within(c, "trig_range", -1.0000001, 1.0000001, "a sine or cosine")
     for base, period, offsets in (("month", 12, (1, 0)), ("hour", 24, (0,))):
         parts = {f"{base}_sin": "sin", f"{base}_cos": "cos"}
         if {base, *parts} <= have:
@@ -102,31 +102,31 @@ def enriched_rules(df: DataFrame, payment_types: Sequence[str] = K.PAYMENT_TYPES
             for c, fn in parts.items():
                 close = " OR ".join(
                     f"abs(({_number(df, c)}) - {fn}((({n}) - {off}) * {2 * math.pi / period}D)) <= 1e-6D" for off in offsets)
-                add(c, f"consistency_with_{base}", f"({n}) IS NULL OR {close}", f"Matches the angle of {base}")
+                add(c, f"consistency_with_{base}", f"({n}) IS NULL OR {close}", f"equals the wave of {base}, counted from one or from zero" if len(offsets) > 1 else f"equals the wave of {base}")
     if "dt_local" in have:
-        add("dt_local", "hour_floor_alignment", matches("dt_local", K.ON_THE_HOUR), "Minutes and seconds are zero")
+        add("dt_local", "hour_floor_alignment", matches("dt_local", K.ON_THE_HOUR), "stands on a full hour")
     if "datetime" in have:
-        add("datetime", "timezone_aware", matches("datetime", K.HAS_OFFSET), "Has timezone offset or Z")
+        add("datetime", "timezone_aware", matches("datetime", K.HAS_OFFSET), "names its zone")
     for c, (lo, hi) in K.PHYSICAL_RANGES.items():
         if c in have:
-            within(c, "physical_plausibility", lo, hi, f"In [{lo}, {hi}] (wide)")
+            within(c, "physical_plausibility", lo, hi, f"physically possible: {lo} to {hi}")
     if {"wx_precipitation", "wx_rain"} <= have:
         p, r = _number(df, "wx_precipitation"), _number(df, "wx_rain")
         both = f"({p}) >= 0 AND ({r}) >= 0"
-        add("wx_precipitation", "non_negative", both, ">= 0")
-        add("wx_rain", "non_negative", both, ">= 0", _text(df, "wx_precipitation"))
-        add("wx_rain", "rain_leq_total_precip", f"({r}) <= ({p})", "rain <= precipitation", _pair("wx_rain", "wx_precipitation"))
+        add("wx_precipitation", "non_negative", both, "neither amount is below zero")
+        add("wx_rain", "non_negative", both, "neither amount is below zero", _text(df, "wx_precipitation"))
+        add("wx_rain", "rain_leq_total_precip", f"({r}) <= ({p})", "no more rain than precipitation of all kinds", _pair("wx_rain", "wx_precipitation"))
     if "is_holiday" in have:
         is_bool = isinstance(df.schema["is_holiday"].dataType, T.BooleanType)
-        add("is_holiday", "boolean_type", "TRUE" if is_bool else "`is_holiday` IS NULL", "Boolean values")
+        add("is_holiday", "boolean_type", "TRUE" if is_bool else "`is_holiday` IS NULL", "true or false")
     if {"is_holiday", "holiday_name"} <= have:
         name = "lower(trim(CAST(`holiday_name` AS STRING)))"
         named = f"coalesce({name} NOT IN ({_names(K.EMPTY_NAMES)}), FALSE)"
         flag = "CAST(`is_holiday` AS BOOLEAN)"
         add("holiday_name", "consistency_with_is_holiday", f"{flag} IS NULL OR {flag} = {named}",
-            "Name present only when is_holiday is true", _pair("is_holiday", "holiday_name"))
+            "named if and only if flagged", _pair("is_holiday", "holiday_name"))
     if "coffee_name" in have:
-        add("coffee_name", "non_empty", "`coffee_name` IS NULL OR length(`coffee_name`) > 0", "Non-empty strings")
+        add("coffee_name", "non_empty", "`coffee_name` IS NULL OR length(`coffee_name`) > 0", "has at least one character")
     return rules
 
 

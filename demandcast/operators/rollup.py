@@ -39,7 +39,9 @@ def aggregate_transactions(df: DataFrame, step: str = "hour", time: str = "datet
         # The first and the last bucket know the bounds, so no second scan is needed.
         end = ceil_time if include_ceil else floor_time
         return close_grid(sums, F.col(time), end("_newest", step), step, time, fill=fill)
-    lo, hi = time_bounds(timed, time, step, include_ceil)
+    # A bucket's newest time floors to the bucket, so the sums know both bounds of the table.
+    sums = materialise(sums)
+    lo, hi = time_bounds(sums, "_newest", step, include_ceil)
     return close_grid(sums.where(col(category).isNotNull()), lo, hi, step, time, [category], fill)
 
 

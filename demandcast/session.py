@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -60,6 +62,7 @@ def scratch_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         known = tempfile.mkdtemp(prefix="demandcast-")
+        atexit.register(shutil.rmtree, known, ignore_errors=True)
         spark._demandcast_scratch = known
     return known
 
