@@ -65,10 +65,15 @@ def gram_counts(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> Da
         size: dict[str, int] = {}
 
         def count(name: str) -> None:
-            data = np.frombuffer(b"".join(waiting.pop(name)), np.uint8)
+            texts = waiting.pop(name)
+            data = np.frombuffer(b"".join(x for t in texts for x in (lead, t)), np.uint8)
+            # Only strings that end in a text's own bytes count, so texts do not touch each other.
+            own = np.ones(len(data), bool)
+            begins = np.cumsum([0, *[len(t) + order for t in texts[:-1]]])
+            own[(begins[:, None] + np.arange(order)).reshape(-1)] = False
             size[name] = 0
             for n in range(1, order + 2):
-                keys, c = np.unique(grams(data, n), return_counts=True)
+                keys, c = np.unique(grams(data, n)[own[n - 1:]], return_counts=True)
                 if (name, n) in held:
                     k0, c0 = held[name, n]
                     keys, at = np.unique(np.concatenate([k0, keys]), return_inverse=True)
@@ -77,7 +82,7 @@ def gram_counts(docs: DataFrame, text: str, lang: str, order: int = ORDER) -> Da
 
         for batch in batches:
             for t, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = lead + normal(t)
+                raw = normal(t)
                 waiting.setdefault(name, []).append(raw)
                 size[name] = size.get(name, 0) + len(raw)
                 if size[name] > 4 * CHUNK:
