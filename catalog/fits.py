@@ -115,15 +115,14 @@ def full_features(spark, sf):
 @query("fit_boosted_direct")
 def _(spark, sf):
     p = full_features(spark, sf)
-    return plain(direct.boosted_forecasts(p, gated(p), max_iter=5, max_depth=3), digits=4)
+    return plain(direct.boosted_forecasts(p, gated(p)), digits=4)
 
 
 @query("fit_glm_grid")
 def _(spark, sf):
     p = full_features(spark, sf)
     feats = ["y", "y_lag_1", "y_lag_7", "y_roll_7", "y_roll_30", "dow_sin", "dow_cos"]
-    last = splits.history_gate(splits.rolling_origins(p, n_origins=1))
-    return plain(direct.glm_grid_forecasts(p, last, feats), digits=4)
+    return plain(direct.glm_grid_forecasts(p, gated(p), feats), digits=4)
 
 
 @query("fit_sequence_regression")

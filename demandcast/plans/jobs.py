@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.config import ForecastConfig
 from demandcast.operators import kpi
-from demandcast.operators.metrics import metrics_by_h, metrics_overall
+from demandcast.operators.metrics import mase, metrics_by_h, metrics_by_product, metrics_overall, seasonal_scale
 from demandcast.operators.selection import ensemble_forecasts, model_ranking, select_family, winners
+from demandcast.operators.splits import history_gate, rolling_origins
 from demandcast.operators.supply import finance_summary, last_prices, supply_detail, supply_summary
 from demandcast.plans.panel import FAMILIES, run_backtest
 from demandcast.session import materialise
@@ -21,13 +23,21 @@ def backtest_job(panel: DataFrame, folder: str, cfg: ForecastConfig = ForecastCo
                  families: Sequence[str] = FAMILIES, weights: Sequence[float] | None = None) -> DataFrame:
     """Backtest all families, store forecasts and metrics, log the run, register the best.
 
-    Returns the family ranking. The forecast table is written once and feeds every report.
+    Returns the family ranking. The forecast table is written once and feeds every report. Each
+    call logs under a run id of its own, with its settings as parameters.
     """
+    settings = {**asdict(cfg), "families": ",".join(families)}
+    run_id = writers.new_run_id(settings)
     fc = materialise(run_backtest(panel, cfg, families))
     writers.write_forecasts(fc, folder)
     by_h, overall = metrics_by_h(fc, ["family"]), metrics_overall(fc, ["family"])
     by_h, overall = materialise(by_h), materialise(overall)
-    writers.append_log(writers.run_log(overall, by_h, model="family"), f"{folder}/runs")
+    writers.append_log(writers.run_log(overall, by_h, model="family").withColumn("run_id", F.lit(run_id)), f"{folder}/runs")
+    told = writers.parameter_log(panel.sparkSession, "backtest", settings, {"stage": "backtest"})
+    writers.append_log(told.withColumn("run_id", F.lit(run_id)), f"{folder}/parameters")
+    metrics_by_product(fc, ["family"]).write.mode("overwrite").parquet(f"{folder}/metrics_by_product")
+    origins = history_gate(rolling_origins(panel, cfg.n_origins, cfg.horizon, cfg.time), cfg.min_train_days)
+    mase(fc, seasonal_scale(panel, origins, cfg.target, cfg.key, cfg.time), cfg.key).write.mode("overwrite").parquet(f"{folder}/mase")
     model_ranking(overall, model="family").write.mode("overwrite").parquet(f"{folder}/ranking")
     won = winners(fc, "family")
     won.write.mode("overwrite").parquet(f"{folder}/winners_by_product_h")

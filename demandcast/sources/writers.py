@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,8 +86,15 @@ def parameter_log(spark: SparkSession, run: str, params: Mapping[str, object], t
         "key", clean_key("key"))
 
 
+def new_run_id(params: Mapping[str, object]) -> str:
+    """Time, digest of the parameters, and a random part, so that no two runs share an id."""
+    blob = json.dumps(dict(params), sort_keys=True, default=str)
+    return f"v{datetime.now(timezone.utc):%Y%m%d-%H%M%S}-{hashlib.sha1(blob.encode()).hexdigest()[:8]}-{uuid.uuid4().hex[:6]}"
+
+
 def append_log(log: DataFrame, path: str) -> None:
-    log.write.mode("append").partitionBy("run").parquet(path)
+    """Append rows, in folders by run id (where the log has one) and run."""
+    log.write.mode("append").partitionBy(*[c for c in ("run_id", "run") if c in log.columns]).parquet(path)
 
 
 def version_id(params: Mapping[str, object], stamp: str | Column, tag: str | None = None) -> Column:

@@ -245,11 +245,19 @@ def test_backtest_job_stores_everything(spark, panel, tmp_path):
     # A pooled family wins with all its members, as in the pooled forecast table.
     assert spark.read.parquet(f"{folder}/winners_by_product_h").count() == 42
     assert spark.read.parquet(f"{folder}/runs").where("key = 'MAE'").count() == 3
+    assert spark.read.parquet(f"{folder}/metrics_by_product").count() == 3 * 42
+    assert spark.read.parquet(f"{folder}/mase").where("MASE IS NULL").count() == 0
+    backtest_job(panel, folder, families=("baselines",))
+    runs = spark.read.parquet(f"{folder}/runs")
+    assert runs.select("run_id").distinct().count() == 2 and runs.groupBy("run_id", "run", "key", "step").count().where("count > 1").isEmpty()
+    told = {(r.key, r.value) for r in spark.read.parquet(f"{folder}/parameters").collect()}
+    assert ("horizon", "7") in told and ("families", "baselines") in told
 
 
 def test_dashboard_bundle(spark, sf):
     from catalog.base import sales
-    from catalog.business import COSTS, RECIPES
+    from catalog.business import RECIPES
+    from demandcast.constants import UNIT_COSTS as COSTS
     from demandcast.operators.supply import cost_table, recipe_table
     from demandcast.plans.jobs import dashboard
 
