@@ -10,6 +10,7 @@ one representative per component, until a pass finds nothing new.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import connected_components, hash_filter, keep_possible, map_arrow
-from demandcast.llm.shingles import mix
+from demandcast.llm.shingles import distinct, mix
 from demandcast.session import materialise
 
 _U = np.uint64
@@ -30,13 +31,13 @@ WINDOW = 16
 #: Bits of the fixed-size filter for lines in question.
 FILTER_BITS = 24
 #: Characters handled at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 LATE_PASSES = 4
 
 _rng = np.random.default_rng(31)
-_ODD = _rng.integers(0, 1 << 62, WIDTH + 1, dtype=np.uint64) * _U(2) + _U(1)
-_PERM_A = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
-_PERM_B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
+_ODD = _U(int(_rng.integers(0, 1 << 62)) * 2 + 1)
+_VALUE = mix(np.arange(1 << 16, dtype=np.uint64) * _ODD + _U(1))
+_PERM = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _STEP = _U(0xD1342543DE82EF95)
 _BACK = _U(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
@@ -46,42 +47,58 @@ def codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("\n".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def lines_of(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumprod(np.full(n, _STEP), dtype=np.uint64), np.cumprod(np.full(n + 1, _BACK), dtype=np.uint64)
+
+
+def rolling(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial hash and what brings a difference of them to position 0."""
+    n = len(chars)
+    power, back = _powers(max(CHUNK + CHUNK // 4, 1 << (n - 1).bit_length() if n else 1))
+    value = _VALUE[np.minimum(chars, 0xFFFF)]
+    far = np.flatnonzero(chars > 0xFFFF)
+    value[far] = mix(chars[far].astype(_U) * _ODD + _U(1))
+    total = np.zeros(n + 1, _U)
+    value *= power[:n]
+    np.cumsum(value, out=total[1:])
+    return total, back
+
+
+def lines_of(chars: np.ndarray, sums: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and digests of the lines of an array of code points."""
     ends = np.concatenate([np.flatnonzero(chars == 10), [len(chars)]])
     starts = np.concatenate([[0], ends[:-1] + 1])
-    n = len(chars)
-    power = np.cumprod(np.full(n, _STEP), dtype=np.uint64)
-    back = np.cumprod(np.full(n + 1, _BACK), dtype=np.uint64)
-    total = np.zeros(n + 1, _U)
-    np.cumsum(mix(chars.astype(_U) * _ODD[WIDTH] + _U(1)) * power, out=total[1:])
-    digest = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(_U) * _ODD[0])
+    total, back = sums or rolling(chars)
+    digest = mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(_U) * _ODD)
     return starts, ends, digest.view(np.int64)
 
 
-def shingles(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingles(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit shingle hashes of lines one after the other, and where each line's begin.
 
     Lines shorter than a shingle must have been left out.
     """
+    total, back = sums
     counts = ends - starts - WIDTH + 1
     first = np.concatenate([[0], np.cumsum(counts)[:-1]])
     at = np.repeat(starts - first, counts) + np.arange(counts.sum())
-    h = chars[:len(chars) - WIDTH + 1].astype(_U) * _ODD[0]
-    for i in range(1, WIDTH):
-        h += chars[i:len(chars) - WIDTH + 1 + i].astype(_U) * _ODD[i]
-    return mix(h[at]), first
+    every = total[WIDTH:] - total[:-WIDTH]
+    every *= back[:len(every)]
+    return mix(every[at]), first
 
 
-def band_keys(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def band_keys(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """(lines, BANDS): keys of each line's bands."""
-    h, first = shingles(chars, starts, ends)
+    h, first = shingles(sums, starts, ends)
     h = (h >> _U(32)).astype(np.uint32)
+    turned = np.empty_like(h)
     out = np.empty((len(starts), BANDS), np.int64)
     for b in range(BANDS):
         key = np.full(len(starts), b + 1, _U)
         for r in range(b * ROWS, (b + 1) * ROWS):
-            key = mix(key * _ODD[1] + np.minimum.reduceat(h * _PERM_A[r] + _PERM_B[r], first))
+            np.multiply(h, _PERM[r], out=turned)
+            key = mix(key * _STEP + np.minimum.reduceat(turned, first))
         out[:, b] = key.view(np.int64)
     return out
 
@@ -123,12 +140,13 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for _, texts in _groups(batch.column(0)):
                 chars = codes(texts)
-                starts, ends, digest = lines_of(chars)
+                sums = rolling(chars)
+                starts, ends, digest = lines_of(chars, sums)
                 fine = np.flatnonzero(ends - starts >= SHORTEST)
                 fine = fine[np.unique(digest[fine], return_index=True)[1]]
                 fine.sort()
                 if len(fine):
-                    keys = band_keys(chars, starts[fine], ends[fine])
+                    keys = band_keys(sums, starts[fine], ends[fine])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(keys.reshape(-1)), pa.array(np.repeat(digest[fine], BANDS))], ["k", "digest"])
 
@@ -215,22 +233,22 @@ def _texts(docs: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
 
 
 def jaccards(left: list[str], right: list[str]) -> np.ndarray:
-    """Exact Jaccard similarity of the shingle sets of pairs of lines."""
+    """Jaccard similarity of the shingle sets of pairs of lines, fewer than 2^20 at a time.
+
+    Pair number and 44 hash bits make one integer, so a side is a sorted set by one sort.
+    """
     both = []
     for side in (left, right):
         chars = codes(side)
         ends = np.cumsum([len(x) + 1 for x in side]) - 1
         starts = np.concatenate([[0], ends[:-1] + 1])
-        h, first = shingles(chars, starts, ends)
-        pair = np.repeat(np.arange(len(side)), np.diff(np.concatenate([first, [len(h)]])))
-        order = np.lexsort((h, pair))
-        h, pair = h[order], pair[order]
-        once = np.concatenate([[True], (h[1:] != h[:-1]) | (pair[1:] != pair[:-1])])
-        both.append((h[once], pair[once]))
-    h, pair = (np.concatenate(x) for x in zip(*both))
-    order = np.lexsort((h, pair))
-    h, pair = h[order], pair[order]
-    common = np.bincount(pair[1:][(h[1:] == h[:-1]) & (pair[1:] == pair[:-1])], minlength=len(left))
+        h, first = shingles(rolling(chars), starts, ends)
+        pair = np.repeat(np.arange(len(side), dtype=np.uint64), np.diff(np.concatenate([first, [len(h)]])))
+        both.append(distinct((pair << _U(44)) | (h >> _U(20))))
+    items = np.concatenate(both)
+    items.sort()
+    pair = (items >> _U(44)).astype(np.int64)
+    common = np.bincount(pair[1:][items[1:] == items[:-1]], minlength=len(left))
     return common / np.maximum(np.bincount(pair, minlength=len(left)) - common, 1)
 
 

@@ -38,6 +38,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values, by a sort (several times faster here than a hash table)."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 @lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = _U(pow(int(_BASE), -1, 1 << 64))
@@ -73,7 +79,7 @@ def sets_of(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
     out = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         if hi - lo >= width:
-            out.append(np.unique(joined[lo:hi - width + 1]))
+            out.append(distinct(joined[lo:hi - width + 1]))
         elif hi > lo:
             k = hi - lo
             out.append(mix((words[lo:hi] * _ODD[10:10 + k]).sum(keepdims=True, dtype=_U) + _ODD[40 + k]))
