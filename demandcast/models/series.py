@@ -189,11 +189,19 @@ def seasonal_ar_forecasts(panel: DataFrame, origins: DataFrame, regressors: Sequ
     """Backtest of the seasonal autoregression, iterated over the horizon, with an 80 % band."""
     regressors = known_regressors(panel.columns) if regressors is None else list(regressors)
     fits = fit_seasonal_ar(panel, origins, regressors, y, key, time, season)
-    scored = fits.where(F.size("_days") > 0).withColumns({
-        "_path": iterate_ar(F.col("coef"), F.col("tail"), F.transform("_days", lambda s: s["x"]), season),
-        "_sd": ar_spread(F.col("coef"), F.col("sigma"), F.size("_days"), season),
+    # One step per calendar day of the test window: a day without a truth row takes the regressors of the
+    # last day that has one, or of the first.
+    def known(d: Column) -> Column:
+        before = F.filter("_days", lambda s: s["d"] <= d)
+        return F.coalesce(F.get(before, F.size(before) - 1)["x"], F.get("_days", F.lit(0))["x"])
+
+    days = fits.where(F.size("_days") > 0).withColumn("_steps", F.transform(F.sequence("test_start", "test_end"), known))
+    scored = days.withColumns({
+        "_path": iterate_ar(F.col("coef"), F.col("tail"), F.col("_steps"), season),
+        "_sd": ar_spread(F.col("coef"), F.col("sigma"), F.size("_steps"), season),
     })
-    flat = scored.select(*key, "origin_id", "test_start", "_path", "_sd", F.posexplode("_days").alias("_i", "_day"))
+    flat = scored.select(*key, "origin_id", "test_start", "_path", "_sd", F.explode("_days").alias("_day")).withColumn(
+        "_i", F.datediff("_day.d", "test_start"))
     yhat, sd = F.get("_path", F.col("_i")), F.get("_sd", F.col("_i"))
     out = flat.withColumns({time: F.col("_day.d"), "h": F.datediff("_day.d", "test_start") + 1, "y": F.col("_day.y"), "yhat": yhat,
                             "yhat_p10": yhat - Z80 * sd, "yhat_p90": yhat + Z80 * sd})

@@ -92,6 +92,14 @@ def test_forecasts_ignore_the_test_window(panel, origins, fn):
     assert np.allclose(a, b)
 
 
+def test_a_missing_test_day_moves_no_other_forecast(spark):
+    pdf = planted(1, 200)
+    full, gap = (spark.createDataFrame(d) for d in (pdf, pdf.drop(index=len(pdf) - 4)))
+    o = splits.rolling_origins(full, 1, 7)
+    a, b = ({r.h: (r.yhat, r.yhat_p10) for r in series.seasonal_ar_forecasts(p, o, []).collect()} for p in (full, gap))
+    assert set(a) - set(b) == {4} and all(np.allclose(a[h], b[h]) for h in b)
+
+
 def test_leading_gap_is_not_filled_from_the_future(spark):
     """A series whose first value falls into the test window has no training rows."""
     pdf = planted(2)
