@@ -30,6 +30,10 @@ TREES = 10
 REGION = 128
 #: Depths and orders inside refined regions.
 DEEPER, DEEP_TREES = (6, 12, 24, 48), 32
+#: Where each order starts: the first orders, then those of refined regions.
+STARTS = [SKETCH // TREES * t for t in range(TREES)] + [SKETCH // DEEP_TREES * t for t in range(DEEP_TREES)]
+#: Marks an order in which a document is in no small region.
+NEVER = 255
 #: Documents that one task reads at a time when it looks for a region's mode.
 MODE_ROWS = 2048
 
@@ -105,52 +109,64 @@ def _spanning(equal: np.ndarray, least: int) -> list[tuple[int, int]]:
     return out
 
 
+def _shared_before(equal: np.ndarray, order: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """Whether pairs share a region of an earlier order too, from their equal signature positions.
+
+    ``equal`` (pairs, SKETCH), ``order`` (pairs,) the order at hand, ``depths`` (pairs, orders) the depth
+    at which the first document's region is small enough in each order, or ``NEVER``.
+    """
+    runs = np.zeros((len(equal), 2 * SKETCH + 1), np.int16)
+    np.cumsum(np.concatenate([equal, equal], axis=1), axis=1, out=runs[:, 1:])
+    found = np.zeros(len(equal), bool)
+    for o, start in enumerate(STARTS):
+        depth = np.minimum(depths[:, o], SKETCH)
+        at = np.take_along_axis(runs, (start + depth)[:, None], axis=1)[:, 0] - runs[:, start]
+        found |= (o < order) & (depths[:, o] != NEVER) & (at == depth)
+    return found
+
+
 def _region_pairs(rows: DataFrame, least: int, crossing: bool) -> DataFrame:
-    """(a, b) of likely pairs inside small regions, from (region, id, sig[, component]).
+    """(a, b) of likely pairs inside small regions, from (region, id, sig[, component, place, depths]).
 
     Either the spanning forest of each region's likely pairs, or all its likely pairs between
-    different components. A region has at most ``REGION`` documents and is seen by one task,
-    which streams over its regions.
+    different components, each in the first order that brings the two together. A region has at
+    most ``REGION`` documents and is seen by one task, which streams over its regions.
     """
-    names = ["region", "id", "sig"] + (["component"] if crossing else [])
+    names = ["region", "id", "sig"] + (["component", "place", "depths"] if crossing else [])
 
-    def of(ids: np.ndarray, sig: list[bytes], comp: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        equal = _matches(*[np.frombuffer(b"".join(sig), ">u4").reshape(len(sig), -1).astype(np.uint32)] * 2)
+    def of(rows_: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array([r[1] for r in rows_], np.int64)
+        sig = np.frombuffer(b"".join(r[2] for r in rows_), ">u4").reshape(len(rows_), -1).astype(np.uint32)
+        equal = _matches(sig, sig)
         if crossing:
+            comp = np.array([r[3] for r in rows_], np.int64)
             i, j = np.nonzero(np.triu((equal >= least) & (comp[:, None] != comp[None]), 1))
+            if len(i):
+                place, depths = np.array([r[4] for r in rows_]), np.array([r[5] for r in rows_], np.int64)
+                new = ~_shared_before(sig[i] == sig[j], place[i], depths[i])
+                i, j = i[new], j[new]
         else:
             edges = _spanning(equal, least)
             i, j = (np.array([e[x] for e in edges], np.int64) for x in (0, 1))
         return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, ids, sigs, comps = None, [], [], []
-        out_a, out_b, held = [], [], 0
-
-        def close() -> int:
-            if len(ids) < 2:
-                return 0
-            a, b = of(np.array(ids, np.int64), sigs, np.array(comps, np.int64) if crossing else None)
-            out_a.append(a)
-            out_b.append(b)
-            return len(a)
-
+        region, members, out, held = None, [], [], 0
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for row in zip(*columns):
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if row[0] != region:
-                    held += close()
-                    region, ids, sigs, comps = row[0], [], [], []
-                ids.append(row[1])
-                sigs.append(row[2])
-                if crossing:
-                    comps.append(row[3])
+                    if len(members) > 1:
+                        out.append(of(members))
+                        held += len(out[-1][0])
+                    region, members = row[0], []
+                members.append(row)
             if held > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
-                out_a, out_b, held = [], [], 0
-        close()
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b"])
+                out, held = [], 0
+        if len(members) > 1:
+            out.append(of(members))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b"])
 
     grouped = rows.select(*names).repartition("region").sortWithinPartitions("region")
     return map_arrow(grouped, run, "a bigint, b bigint").where("a <> b").distinct()
@@ -253,7 +269,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
 
     sized = materialise(_sized(_keys(heads, DEPTH, TREES)))
     big = sized.where(f"size > {REGION}").select("id", "region")
-    small = [sized.where(f"size <= {REGION}").select("region", "id")]
+    small = [sized.where(f"size <= {REGION}").select("region", "id", F.col("tree").alias("place"), F.lit(DEPTH).alias("depth"))]
     candidates = []
     if not big.isEmpty():
         candidates.append(_centre_pairs(materialise(big.join(heads, "id")), least))
@@ -261,7 +277,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
             "id", "sig", F.explode(F.sequence(F.lit(0), F.lit(DEEP_TREES - 1))).alias("tree"))
         for depth in DEEPER:
             level = materialise(_sized(left.select("id", "tree", "sig", _prefix(F.col("tree"), depth, DEEP_TREES).alias("region"))))
-            small.append(level.where(f"size <= {REGION}").select("region", "id"))
+            small.append(level.where(f"size <= {REGION}").select(
+                "region", "id", (F.col("tree") + TREES).alias("place"), F.lit(depth).alias("depth")))
             left = level.where(f"size > {REGION}")
             if left.isEmpty():
                 break
@@ -271,7 +288,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     regions = small[0]
     for more in small[1:]:
         regions = regions.unionByName(more)
-    regions = materialise(regions.join(heads, "id").select("region", "id", "sig"))
+    # A document is in one region per order at most, so its list of depths is short.
+    depths = regions.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("place", "depth"))).alias("m")).select(
+        "id", F.transform(F.sequence(F.lit(0), F.lit(len(STARTS) - 1)), lambda o: F.coalesce(F.element_at("m", o), F.lit(NEVER))).alias("depths"))
+    regions = materialise(regions.join(heads, "id").select("region", "id", "sig", "place"))
     candidates.append(_region_pairs(regions, least, crossing=False))
     pairs = candidates[0]
     for more in candidates[1:]:
@@ -282,6 +302,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
 
     # Pairs that the spanning forests left out matter only between components.
     placed = regions.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # Regions whose documents are all connected have nothing left to find.
+    apart = placed.groupBy("region").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("region")
+    placed = placed.join(apart, "region").join(depths, "id")
     more = _region_pairs(placed, least, crossing=True).join(pairs, ["a", "b"], "left_anti")
     late = materialise(_confirmed(materialise(more), docs, text, key, width, percent))
     if not late.isEmpty():
