@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -208,14 +209,11 @@ class Model:
         return sums[ends - self.order] - sums[ends - self.order - np.array([len(t) for t in texts])]
 
 
-def build_model(counts: list[tuple[str, int, int, int]], order: int = ORDER) -> Model:
-    """Code lengths from (lang, length, gram, n) rows; languages in alphabetical order."""
-    langs = sorted({c[0] for c in counts})
-    spot = {name: i for i, name in enumerate(langs)}
-    who = np.array([spot[c[0]] for c in counts], np.int64)
-    length = np.array([c[1] for c in counts], np.int64)
-    gram = np.array([c[2] for c in counts], np.int64).view(_U)
-    n = np.array([c[3] for c in counts], np.float64)
+def build_model(names: np.ndarray, length: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int = ORDER) -> Model:
+    """Code lengths from columns of (lang, length, gram, n); languages in alphabetical order."""
+    langs = sorted(set(names.tolist()))
+    who = np.searchsorted(langs, names) if langs else np.empty(0, np.int64)
+    gram, n = gram.astype(np.int64).view(_U), n.astype(np.float64)
     model = Model(langs, order, np.full((256, len(langs)), 8.0, np.float32), {}, {}, {}, {})
     for k in range(order + 1):
         mine = length == k + 1
@@ -252,11 +250,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     """
     known = docs.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull())
     counts = gram_counts(training_sample(known, lang, key, per_lang), text, lang, order).persist()
-    rows: list = []
-    for n in range(1, order + 2):
-        rows += [tuple(r) for r in counts.where(F.col("length") == n).orderBy(F.desc("n"), "lang", "gram").limit(max_nodes).collect()]
+    # As Arrow columns: a Python object per node would take ten times the model's memory on the driver.
+    parts = [counts.where(F.col("length") == n).orderBy(F.desc("n"), "lang", "gram").limit(max_nodes).toArrow() for n in range(1, order + 2)]
     counts.unpersist()
-    return build_model(rows, order)
+    whole = pa.concat_tables(parts)
+    langs = pc.dictionary_encode(whole["lang"]).combine_chunks()
+    words = np.array(langs.dictionary.to_pylist(), dtype=np.str_)
+    names = words[langs.indices.to_numpy()] if len(words) else np.empty(0, np.str_)
+    return build_model(names, *[whole[c].to_numpy() for c in ("length", "gram", "n")], order)
 
 
 # --- prediction ---------------------------------------------------------------------------
