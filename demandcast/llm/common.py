@@ -115,3 +115,47 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     rest = alone.join(labels.select("node"), "node", "left_anti")
     return labels.unionByName(rest.select("node", F.col("node").alias("component")))
 
+
+def cross_cells(members: DataFrame, block: int) -> DataFrame:
+    """(k, i, j, side, id, c): members of groups dealt to cells, so that every pair of a group's members
+    with different labels meets in a cell.
+
+    ``members`` has (k, id, c, w): group, member, label and weight, each (k, id) once. A group's members
+    are split by hash into blocks of a weight of about ``block``; a label with over half of that has blocks of its own,
+    which never meet each other. Cell (i, j) holds the members of the two blocks, ``side`` is a
+    member's own block. Groups with one label are left out, and no task holds more than a cell.
+    """
+    labels = members.groupBy("k", "c").agg(F.sum("w").alias("w"))
+    large = F.col("w") > block // 2
+    plan = labels.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.when(~large, F.col("w"))), F.lit(0)).alias("rest"),
+        F.collect_list(F.when(large, F.struct("c", F.ceil(F.col("w") / block).cast("int").alias("b")))).alias("own")).where("n > 1").select(
+        "k", F.concat(F.array_repeat(F.lit(None).cast("bigint"), F.ceil(F.col("rest") / block).cast("int")),
+                      F.flatten(F.transform("own", lambda x: F.array_repeat(x["c"], x["b"])))).alias("owners"))
+    at = F.array_position("owners", F.col("c"))
+    count = F.when(at > 0, F.size(F.filter("owners", lambda x: x == F.col("c")))).otherwise(
+        F.size(F.filter("owners", lambda x: x.isNull())))
+    first = F.when(at > 0, at - 1).otherwise(0)
+    placed = members.join(plan, "k").withColumn("own", F.when(at > 0, F.col("c"))).withColumn(
+        "side", (first + F.pmod(F.xxhash64("id"), count)).cast("int"))
+    return placed.select("k", "id", "c", "own", "side", F.posexplode("owners").alias("other", "owner")).where(
+        "owner IS NULL OR own IS NULL OR owner <> own").select(
+        "k", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "id", "c")
+
+
+def joining(a: list, b: list) -> list[int]:
+    """Positions of pairs of labels that join what the pairs before them have not joined."""
+    up: dict = {}
+    out = []
+
+    def top(x):
+        while up.get(x, x) != x:
+            up[x] = x = up.get(up[x], up[x])
+        return x
+
+    for n, (x, y) in enumerate(zip(a, b)):
+        x, y = top(x), top(y)
+        if x != y:
+            up[x] = y
+            out.append(n)
+    return out

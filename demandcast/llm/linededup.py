@@ -3,8 +3,8 @@
 Lines are compared by their distinct texts (lower-cased, known by a 64-bit digest), so a line
 that a third of all documents share is one candidate. Band keys go through one shuffle, sorted
 by key; buckets are then read as runs, every line against the next ``WINDOW`` of its bucket and
-the bucket's first, whatever the bucket's size. Lines of larger buckets are compared again by
-one representative per component, until a pass finds nothing new.
+the bucket's first, whatever the bucket's size. In larger buckets all pairs that these links leave
+in different components are then compared in cells of bounded size.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import connected_components, hash_filter, keep_possible, map_arrow
+from demandcast.llm.common import connected_components, cross_cells, hash_filter, joining, keep_possible, map_arrow
 from demandcast.llm.shingles import distinct, mix
 from demandcast.session import materialise
 
@@ -32,7 +32,10 @@ WINDOW = 16
 FILTER_BITS = 24
 #: Characters handled at a time.
 CHUNK = 1 << 18
-LATE_PASSES = 4
+#: Weight of a block of lines, each its characters and ``LINE_WEIGHT``; two blocks are held at a time.
+BLOCK, LINE_WEIGHT = 1 << 18, 256
+#: Shingles of a cell that are matched at a time.
+COLUMNS = 4096
 
 _rng = np.random.default_rng(31)
 _ODD = _U(int(_rng.integers(0, 1 << 62)) * 2 + 1)
@@ -135,8 +138,9 @@ def line_table(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 
 def _buckets(docs: DataFrame, text: str) -> DataFrame:
-    """(band_key, digest) of every comparable line; repeats within a run of texts are dropped."""
+    """(band_key, digest) of every comparable line; repeats that a task remembers are dropped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             for _, texts in _groups(batch.column(0)):
                 chars = codes(texts)
@@ -145,6 +149,10 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
                 fine = np.flatnonzero(ends - starts >= SHORTEST)
                 fine = fine[np.unique(digest[fine], return_index=True)[1]]
                 fine.sort()
+                if len(seen) > 500_000:
+                    seen.clear()
+                fine = fine[[x not in seen for x in digest[fine].tolist()]] if len(fine) else fine
+                seen.update(digest[fine].tolist())
                 if len(fine):
                     keys = band_keys(sums, starts[fine], ends[fine])
                     yield pa.RecordBatch.from_arrays(
@@ -156,13 +164,17 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
 def _candidates(rows: DataFrame) -> DataFrame:
     """(a, b, k): pairs within buckets; rows with a NULL ``b`` list members of buckets over the window.
 
-    Reads rows sorted by (k, digest) as a stream; a bucket is never held.
+    Reads rows sorted by (k, digest) as a stream, repeated rows once; a bucket is never held.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail_k, tail_d = np.empty(0, np.int64), np.empty(0, np.int64)
         lead_k, lead_d, lead_n = None, None, 0  # of the bucket that is open at the end of a batch
         for batch in batches:
             k, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if len(k):
+                again = (k[1:] == k[:-1]) & (d[1:] == d[:-1])
+                once = ~np.concatenate([[len(tail_k) > 0 and k[0] == tail_k[-1] and d[0] == tail_d[-1]], again])
+                k, d = k[once], d[once]
             if not len(k):
                 continue
             new = np.concatenate([[lead_k is None or k[0] != lead_k], k[1:] != k[:-1]])
@@ -273,6 +285,74 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFra
     return map_arrow(joined, run, "a bigint, b bigint")
 
 
+def _sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (line, shingle) of lines: numbers of lines, and shingle hashes."""
+    chars = codes(lines)
+    ends = np.cumsum([len(x) + 1 for x in lines]) - 1
+    h, first = shingles(rolling(chars), np.concatenate([[0], ends[:-1] + 1]), ends)
+    line = np.repeat(np.arange(len(lines)), np.diff(np.concatenate([first, [len(h)]])))
+    order = np.lexsort((h, line))
+    h, line = h[order], line[order]
+    once = np.concatenate([[True], (h[1:] != h[:-1]) | (line[1:] != line[:-1])])
+    return line[once], h[once]
+
+
+def _similar(left: list[str], right: list[str], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs, one of each side, at ``similarity`` or more."""
+    (x, g), (y, h) = _sets(left), _sets(right)
+    size = np.bincount(x, minlength=len(left))[:, None] + np.bincount(y, minlength=len(right))[None, :]
+    known = np.intersect1d(g, h)
+    mine, theirs = np.isin(g, known), np.isin(h, known)
+    x, g, y, h = x[mine], np.searchsorted(known, g[mine]), y[theirs], np.searchsorted(known, h[theirs])
+    common = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(known), COLUMNS):
+        one, two = (g >= at) & (g < at + COLUMNS), (h >= at) & (h < at + COLUMNS)
+        a, b = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
+        a[x[one], g[one] - at] = 1
+        b[y[two], h[two] - at] = 1
+        common += a @ b.T
+    return np.nonzero(common / (size - common) >= similarity - 1e-12)
+
+
+def _links_across(crowd: DataFrame, groups: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between members of a bucket in different components, as many as join them.
+
+    ``crowd`` has (k, digest). Every such pair is compared on its shingle sets; of several
+    links of a cell that join the same components one is returned.
+    """
+    known = crowd.join(groups.withColumnRenamed("node", "digest"), "digest", "left").join(texts, "digest").where(
+        F.length("line") >= WIDTH)
+    cells = cross_cells(known.select("k", F.col("digest").alias("id"), F.coalesce("component", "digest").alias("c"),
+                                     (F.length("line") + LINE_WEIGHT).alias("w")), BLOCK)
+
+    def of(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        i, j = rows[0][1:3]
+        one = [r for r in rows if r[3] == i]
+        two = one if i == j else [r for r in rows if r[3] == j]
+        if not one or not two:
+            return [], []
+        x, y = _similar([r[6] for r in one], [r[6] for r in two], similarity)
+        p, q = np.array([r[5] for r in one], np.int64)[x], np.array([r[5] for r in two], np.int64)[y]
+        x, y, p, q = (v[p != q] for v in (x, y, p, q))
+        fine = joining(p.tolist(), q.tolist())
+        return [one[v][4] for v in x[fine]], [two[v][4] for v in y[fine]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                if row[:3] != at:
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in of(held)], ["a", "b"])
+                    at, held = row[:3], []
+                held.append(row)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in of(held)], ["a", "b"])
+
+    rows = cells.join(texts.withColumnRenamed("digest", "id"), "id").select("k", "i", "j", "side", "id", "c", "line")
+    return map_arrow(rows.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j"), run, "a bigint, b bigint").distinct()
+
+
 def linked_lines(docs: DataFrame, text: str = "text", similarity: float = 0.8) -> DataFrame:
     """(digest, component) of the distinct lines that are linked with another one."""
     found = materialise(_candidates(_buckets(docs, text)))
@@ -284,18 +364,10 @@ def linked_lines(docs: DataFrame, text: str = "text", similarity: float = 0.8) -
     wide = found.where("b IS NULL").select("k").distinct()
     if not wide.isEmpty():
         # All members of buckets over the window, from their pairs and marks.
-        crowd = materialise(found.join(wide, "k").select("k", F.explode(F.array("a", "b")).alias("digest")).where(
-            "digest IS NOT NULL").distinct())
-        done = pairs
-        for _ in range(LATE_PASSES):
-            apart = crowd.join(groups.withColumnRenamed("node", "digest"), "digest", "left").groupBy(
-                "k", F.coalesce("component", "digest").alias("c")).agg(F.min("digest").alias("digest"))
-            more = materialise(_candidates(apart).where("b IS NOT NULL").select("a", "b").distinct().join(done, ["a", "b"], "left_anti"))
-            new = materialise(_confirmed(more, texts, similarity))
-            if new.isEmpty():
-                break
-            done = done.unionByName(more)
-            links = materialise(links.unionByName(new))
+        crowd = found.join(wide, "k").select("k", F.explode(F.array("a", "b")).alias("digest")).where("digest IS NOT NULL").distinct()
+        new = materialise(_links_across(crowd, groups, texts, similarity))
+        if not new.isEmpty():
+            links = links.unionByName(new)
             groups = materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
     return groups.withColumnRenamed("node", "digest")
 

@@ -173,6 +173,29 @@ def test_lines_equal_brute_force(spark, monkeypatch):
     assert linededup.line_components(frame(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1 << 18, 6000])
+def test_lines_of_a_crowded_bucket_equal_brute_force(spark, monkeypatch, block):
+    """Some hundred unlinked lines of one template in one bucket per band, with near copies of a few among them."""
+    monkeypatch.setattr(linededup, "BLOCK", block, raising=False)
+    monkeypatch.setattr(linededup, "band_keys", lambda sums, starts, ends: np.tile(np.arange(linededup.BANDS), (len(starts), 1)))
+    rng = random.Random(4)
+    template = "".join(rng.choice("abcdefgh ") for _ in range(90))
+
+    def line(n):
+        r = random.Random(n)
+        return template + "".join(r.choice("klmnopqrs") for _ in range(12))
+
+    lines = [line(n) for n in range(300)]
+    lines += [line(n)[:-2] + "zz" for n in range(0, 300, 9)] + [line(n)[:-4] + "yyyy" for n in range(0, 300, 40)]
+    rng.shuffle(lines)
+    sets = [{x[k:k + 8] for k in range(len(x) - 7)} for x in lines]
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if len(sets[i] & sets[j]) >= 0.87 * len(sets[i] | sets[j]) - 1e-12]
+    want = components(len(lines), links)
+    assert 100 < len(set(want)) < len(lines)
+    got = {r.doc_id: r.first_doc for r in linededup.line_components(frame(spark, lines), similarity=0.87).collect()}
+    assert [got[i] for i in range(len(lines))] == want
+
+
 # --- 7: language-model scores ---------------------------------------------------------------
 
 @pytest.mark.parametrize("top", [65_000, 5, 0])
