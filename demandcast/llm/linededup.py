@@ -24,6 +24,8 @@ from demandcast.session import materialise
 _U = np.uint64
 #: Characters of a shingle, and of the shortest line that is compared at all.
 WIDTH, SHORTEST = 8, 30
+#: Characters of blank lines.
+BLANK = " \t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bands of rows: at a similarity of 0.8 a pair shares no band with probability 0.005.
 BANDS, ROWS = 10, 4
 #: Following lines of a bucket that a line is compared with at once.
@@ -400,9 +402,8 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
 def dedup_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = 0.8) -> DataFrame:
     """Documents without the lines that repeat an earlier one.
 
-    All columns are returned. A document that loses every line that could be compared and has
-    only shorter ones or none left is dropped; documents that lose nothing are untouched, NULL
-    and empty texts among them. Only numbers of lost lines are joined to the documents.
+    All columns are returned. A document that loses lines and has only blank ones or none left is
+    dropped; documents that lose nothing are untouched, NULL and empty texts among them. Only numbers of lost lines are joined to the documents.
     """
     lines = line_components(docs, text, key, similarity)
     lost = materialise(lines.where(f"NOT kept AND `{key}` IS NOT NULL").groupBy(key).agg(
@@ -413,6 +414,6 @@ def dedup_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     parts = F.split(F.col(f"`{text}`"), "\n", -1)
     done = joined.withColumn("_left", F.when(F.col("_lost").isNotNull(), F.filter(parts, lambda x, i: ~F.array_contains("_lost", i))))
     out = F.when(F.col("_lost").isNull(), F.col(f"`{text}`")).otherwise(F.array_join("_left", "\n"))
-    fine = F.col("_lost").isNull() | F.exists("_left", lambda x: F.length(x) >= SHORTEST)
+    fine = F.col("_lost").isNull() | F.exists("_left", lambda x: x.rlike(f"[^{BLANK}]"))
     changed = done.where(fine).select(*[out.alias(c) if c == text else maybe[f"`{c}`"] for c in docs.columns])
     return keep_possible(docs, key, flt, others=True).unionByName(changed)

@@ -196,6 +196,14 @@ def test_lines_of_a_crowded_bucket_equal_brute_force(spark, monkeypatch, block):
     assert [got[i] for i in range(len(lines))] == want
 
 
+def test_documents_of_short_lines_outlive_a_lost_line(spark):
+    shared = "permission is granted to copy this text under the terms of the licence"
+    verse = "\n".join(f"{a} {b}" for a, b in zip(words(1, 40), words(2, 40)))
+    texts = [f"a first document that holds it\n{shared}", f"{verse}\n{shared}", f"{shared}\n \t\u00a0\n", f"{shared}\n   "]
+    left = {r.doc_id: r.text for r in linededup.dedup_documents(frame(spark, texts)).collect()}
+    assert left == {0: texts[0], 1: verse}
+
+
 # --- 7: language-model scores ---------------------------------------------------------------
 
 @pytest.mark.parametrize("top", [65_000, 5, 0])
