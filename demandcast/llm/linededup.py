@@ -9,6 +9,7 @@ in different components are then compared in cells of bounded size.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,8 +23,8 @@ from demandcast.llm.shingles import distinct, mix
 from demandcast.session import materialise
 
 _U = np.uint64
-#: Characters of a shingle, and of the shortest line that is compared at all.
-WIDTH, SHORTEST = 8, 30
+#: Characters of a shingle, and of the shortest line that is compared at all; under a shingle's, lines link when they are equal.
+WIDTH, SHORTEST = 8, 1
 #: Characters of blank lines.
 BLANK = " \t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bands of rows: at a similarity of 0.8 a pair shares no band with probability 0.005.
@@ -122,25 +123,36 @@ def _groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield at, held
 
 
+_BLANK = np.zeros(0x3002, bool)
+_BLANK[[i for i in range(0x3001) if re.match(f"[{BLANK}]", chr(i))]] = True
+
+
+def comparable(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = SHORTEST) -> np.ndarray:
+    """Whether lines have ``least`` characters or more and one that is not blank."""
+    ink = np.concatenate([[0], np.cumsum(~_BLANK[np.minimum(chars, 0x3001)])])
+    return (ends - starts >= least) & (ink[ends] > ink[starts])
+
+
 def line_table(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(id, line_no, digest): every line; a NULL digest marks lines too short to be compared."""
+    """(id, line_no, digest): every line; a NULL digest marks blank lines."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in _groups(batch.column(1)):
-                starts, ends, digest = lines_of(codes(texts))
+                chars = codes(texts)
+                starts, ends, digest = lines_of(chars)
                 counts = np.array([t.count("\n") + 1 for t in texts])
                 ids = np.repeat(np.arange(len(texts)), counts)
                 number = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)).take(pa.array(ids)), pa.array(number.astype(np.int32)),
-                     pa.array(digest, mask=ends - starts < SHORTEST)], ["id", "line_no", "digest"])
+                     pa.array(digest, mask=~comparable(chars, starts, ends))], ["id", "line_no", "digest"])
 
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
     return map_arrow(rows, run, "id bigint, line_no int, digest bigint")
 
 
 def _buckets(docs: DataFrame, text: str) -> DataFrame:
-    """(band_key, digest) of every comparable line; repeats that a task remembers are dropped."""
+    """(band_key, digest) of every line of a shingle or more that is not blank; repeats that a task remembers are dropped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
@@ -148,7 +160,7 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
                 chars = codes(texts)
                 sums = rolling(chars)
                 starts, ends, digest = lines_of(chars, sums)
-                fine = np.flatnonzero(ends - starts >= SHORTEST)
+                fine = np.flatnonzero(comparable(chars, starts, ends, WIDTH))
                 fine = fine[np.unique(digest[fine], return_index=True)[1]]
                 fine.sort()
                 if len(seen) > 500_000:
@@ -232,7 +244,7 @@ def _texts(docs: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
                 chars = codes(texts)
                 starts, ends, digest = lines_of(chars)
                 slot = (digest >> 20) & ((1 << FILTER_BITS) - 1)
-                hit = np.flatnonzero((bits[slot >> 6] >> (slot & 63).astype(_U) & _U(1)).astype(bool) & (ends - starts >= SHORTEST))
+                hit = np.flatnonzero((bits[slot >> 6] >> (slot & 63).astype(_U) & _U(1)).astype(bool) & (ends - starts >= WIDTH))
                 new = [i for i in hit.tolist() if digest[i] not in seen]
                 if len(seen) > 500_000:
                     seen.clear()
@@ -378,10 +390,10 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     """(key, line_no, first_doc, first_line, kept): one row per line of every document.
 
     Lines end at newline characters; a NULL or empty text has one empty line. Lines of at least
-    ``SHORTEST`` characters are linked when their shingle sets have a Jaccard similarity of
+    ``WIDTH`` characters are linked when their shingle sets have a Jaccard similarity of
     ``similarity`` or more, upper and lower case alike; ``first_doc`` and ``first_line`` name
     the first line (by key, then number) of the component and ``kept`` marks it. Shorter lines
-    are never compared and always kept. Lines of a NULL key come after all others.
+    are linked when they are equal. Blank lines are never compared and always kept. Lines of a NULL key come after all others.
     """
     lines = materialise(line_table(docs, text, key))
     groups = linked_lines(docs, text, similarity)

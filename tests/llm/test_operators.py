@@ -204,6 +204,14 @@ def test_documents_of_short_lines_outlive_a_lost_line(spark):
     assert left == {0: texts[0], 1: verse}
 
 
+def test_short_lines_are_compared(spark):
+    texts = ["Home\n\n  \nAbout us\nContact the editors", "home\n\n  \nABOUT US\nnews of the day", "Home\ncontact the editors\nAbout me", "x\ny\nx\n  x"]
+    rows = linededup.line_components(frame(spark, texts)).collect()
+    got = {(r.doc_id, r.line_no): (r.first_doc, r.first_line) for r in rows}
+    lost = {(1, 0): (0, 0), (1, 3): (0, 3), (2, 0): (0, 0), (2, 1): (0, 4), (3, 2): (3, 0)}
+    assert got == {k: lost.get(k, k) for k in got} and all(r.kept == ((r.doc_id, r.line_no) not in lost) for r in rows)
+
+
 # --- 7: language-model scores ---------------------------------------------------------------
 
 @pytest.mark.parametrize("top", [65_000, 5, 0])
