@@ -4,7 +4,8 @@ Several orders of the signature (rotations) act as prefix trees. Documents that
 prefix are candidates; a region with more than ``REGION`` documents is refined to longer
 prefixes in more orders, and its documents are also compared with the region's centre, the
 document closest to the column-wise mode of the signatures. So a large group of near copies
-costs a number of candidates linear in its size. Copies of one shingle set are one candidate.
+costs a number of candidates linear in its size. What these leave in different components of
+a large region is compared pair by pair in cells of bounded size. Copies of one shingle set are one candidate.
 Links are confirmed on full shingle sets; a candidate whose ends are already connected needs
 no confirmation, because it cannot change a component.
 """
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import connected_components, hash_filter, keep_possible, map_arrow
+from demandcast.llm.common import connected_components, cross_cells, hash_filter, joining, keep_possible, map_arrow
 from demandcast.llm.shingles import SKETCH, digest_of, sets_of, sketch_of, text_groups
 from demandcast.session import materialise
 
@@ -32,6 +33,10 @@ REGION = 128
 DEEPER, DEEP_TREES = (6, 12, 24, 48), 32
 #: Where each order starts: the first orders, then those of refined regions.
 STARTS = [SKETCH // TREES * t for t in range(TREES)] + [SKETCH // DEEP_TREES * t for t in range(DEEP_TREES)]
+#: Weight of a block of documents, each its shingles and ``DOC_WEIGHT``; two blocks are held at a time.
+BLOCK, DOC_WEIGHT = 1 << 18, 128
+#: Shingles of a cell that are matched at a time.
+COLUMNS = 4096
 #: Marks an order in which a document is in no small region.
 NEVER = 255
 #: Documents that one task reads at a time when it looks for a region's mode.
@@ -249,6 +254,70 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, key: str, width: in
         f"100 * i >= {percent} * u AND u > 0").select("a", "b")
 
 
+def _wanted_sets(ids: DataFrame, docs: DataFrame, text: str, key: str, width: int) -> DataFrame:
+    """(id, items): sets of the documents that may be among ``ids``, each key once."""
+    wanted = keep_possible(docs.select(key, text).where(F.col(f"`{key}`").isNotNull()).withColumnRenamed(key, "_id"),
+                           "_id", hash_filter(ids, "id"))
+    return full_sets(wanted, text, "_id", width)
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, one of each side."""
+    x, y = (np.repeat(np.arange(len(v)), [len(z) for z in v]) for v in (left, right))
+    g, h = np.concatenate(left), np.concatenate(right)
+    known = np.intersect1d(g, h)
+    mine, theirs = np.isin(g, known), np.isin(h, known)
+    x, g, y, h = x[mine], np.searchsorted(known, g[mine]), y[theirs], np.searchsorted(known, h[theirs])
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(known), COLUMNS):
+        one, two = (g >= at) & (g < at + COLUMNS), (h >= at) & (h < at + COLUMNS)
+        a, b = np.zeros((len(left), COLUMNS), np.float32), np.zeros((len(right), COLUMNS), np.float32)
+        a[x[one], g[one] - at] = 1
+        b[y[two], h[two] - at] = 1
+        out += a @ b.T
+    return out.astype(np.int64)
+
+
+def _links_across(members: DataFrame, docs: DataFrame, text: str, key: str, width: int, percent: int) -> DataFrame:
+    """(a, b): links between members of a region in different components, as many as join them.
+
+    ``members`` has (k, id, c, w). Every such pair is compared on its full sets; of several
+    links of a cell that join the same components one is returned.
+    """
+    cells = cross_cells(members, BLOCK)
+
+    def of(rows: list[tuple]) -> tuple[list[int], list[int]]:
+        i, j = rows[0][1:3]
+        one = [r for r in rows if r[3] == i]
+        two = one if i == j else [r for r in rows if r[3] == j]
+        if not one or not two:
+            return [], []
+        both = _common([r[6] for r in one], [r[6] for r in two])
+        either = np.array([len(r[6]) for r in one])[:, None] + np.array([len(r[6]) for r in two])[None] - both
+        x, y = np.nonzero(100 * both >= percent * either)
+        p, q = np.array([r[5] for r in one], np.int64)[x], np.array([r[5] for r in two], np.int64)[y]
+        x, y, p, q = (v[p != q] for v in (x, y, p, q))
+        fine = joining(p.tolist(), q.tolist())
+        return [one[v][4] for v in x[fine]], [two[v][4] for v in y[fine]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            items = batch.column(6)
+            for n, row in enumerate(zip(*[batch.column(c).to_pylist() for c in range(6)])):
+                if row[:3] != at:
+                    if held:
+                        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in of(held)], ["a", "b"])
+                    at, held = row[:3], []
+                held.append((*row, items[n].values.to_numpy()))
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in of(held)], ["a", "b"])
+
+    sets = _wanted_sets(cells.select("id").distinct(), docs, text, key, width).dropDuplicates(["id"])
+    rows = cells.join(sets, "id").select("k", "i", "j", "side", "id", "c", "items")
+    return map_arrow(rows.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j"), run, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, percent: int = 85) -> DataFrame:
     """(key, n_shingles, component_id, kept): the components of near-duplicate documents.
 
@@ -308,7 +377,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     more = _region_pairs(placed, least, crossing=True).join(pairs, ["a", "b"], "left_anti")
     late = materialise(_confirmed(materialise(more), docs, text, key, width, percent))
     if not late.isEmpty():
-        groups = connected_components(links.unionByName(late).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        links = links.unionByName(late)
+        groups = materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    if not big.isEmpty():
+        # Pairs of large regions that refining has parted.
+        crowd = big.join(groups.withColumnRenamed("node", "id"), "id", "left").join(
+            some.groupBy("id").agg(F.max("n_shingles").alias("n_shingles")), "id").select(
+            F.col("region").alias("k"), "id", F.coalesce("component", "id").alias("c"), (F.col("n_shingles") + DOC_WEIGHT).alias("w"))
+        across = materialise(_links_across(crowd, docs, text, key, width, percent))
+        if not across.isEmpty():
+            groups = connected_components(links.unionByName(across).select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
     placed = rows.join(leaders, "digest", "left").join(groups.withColumnRenamed("node", "leader"), "leader", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "leader", "id")).otherwise(F.col("id"))

@@ -109,6 +109,31 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert all(got[i].kept == (want[i] == i) for i in range(len(texts)))
 
 
+def test_near_duplicates_inside_a_crowd_on_one_template(spark, monkeypatch):
+    """Documents at 0.66 to 0.81 to each other and to the centre, with pairs at 0.87 that no deep order brings together."""
+    monkeypatch.setattr(neardup, "REGION", 12)
+    monkeypatch.setattr(neardup, "DEEPER", (48,))
+    monkeypatch.setattr(neardup, "BLOCK", 8000, raising=False)
+    rng = random.Random(6)
+    base, texts = words(3, 150), []
+
+    def other(w, places):
+        return [f"w{rng.random()}" if i in places else x for i, x in enumerate(w)]
+
+    for k in range(90):
+        places = rng.sample(range(5, 145, 5), 5)
+        texts.append(other(base, places[:3]))
+        if k % 4 == 0:
+            texts.append(other(texts[-1], places[3:]))
+    texts = [" ".join(w) for w in texts]
+    sets = [shingle_set(t) for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    want = components(len(texts), links)
+    assert len(links) >= 20 and len(set(want)) >= 80
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_near_duplicates_of_odd_rows(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "x")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in neardup.near_duplicates(df).collect())
