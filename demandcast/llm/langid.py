@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import map_arrow
@@ -26,7 +26,7 @@ from demandcast.llm.common import map_arrow
 ORDER = 4
 #: Documents per language to learn from, about; drawn by a hash of their text.
 TRAIN_DOCS = 3000
-#: Nodes kept per length, the most frequent ones; bounds the broadcast model.
+#: Nodes kept per language and length, the most frequent ones; bounds the broadcast model.
 MAX_NODES = 250_000
 #: Bytes scored at a time.
 CHUNK = 1 << 19
@@ -245,13 +245,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
           per_lang: int = TRAIN_DOCS, max_nodes: int = MAX_NODES) -> Model:
     """A frozen model from rows with text and language; rows without either teach nothing.
 
-    Counts are summed by Spark; the driver gets at most ``max_nodes`` nodes per length, the most
-    frequent ones (ties by language and bytes), which bounds the model whatever the corpus.
+    Counts are summed by Spark; the driver gets at most ``max_nodes`` nodes per language and
+    length, the most frequent ones (ties by bytes), so no language loses nodes to another one.
     """
     known = docs.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull())
     counts = gram_counts(training_sample(known, lang, key, per_lang), text, lang, order).persist()
     # As Arrow columns: a Python object per node would take ten times the model's memory on the driver.
-    parts = [counts.where(F.col("length") == n).orderBy(F.desc("n"), "lang", "gram").limit(max_nodes).toArrow() for n in range(1, order + 2)]
+    place = F.row_number().over(Window.partitionBy("lang", "length").orderBy(F.desc("n"), "gram"))
+    kept = counts.withColumn("_place", place).where(F.col("_place") <= max_nodes).drop("_place")
+    parts = [kept.where(F.col("length") == n).toArrow() for n in range(1, order + 2)]
     counts.unpersist()
     whole = pa.concat_tables(parts)
     langs = pc.dictionary_encode(whole["lang"]).combine_chunks()

@@ -492,3 +492,12 @@ def test_redirect_table_adds_edges(spark):
     hops = spark.createDataFrame([("http://a.com/", "http://h.com/"), ("http://h.com/", "http://bad.net/"), (None, "x")], "src_url string, dst_url string")
     rules = urls.rule_table(spark, [("block", "net/")])
     assert {r.page_id: r.verdict for r in urls.judge(pages, rules, hops).collect()} == {1: "block", 2: "allow"}
+
+
+def test_a_small_language_keeps_its_strings_next_to_a_large_one(spark):
+    small = [(1000, "zorvek quiblat", "xx")]
+    large = [(i, " ".join(words(i, 40)) + " " + " ".join(words(i // 2, 40)), "aa") for i in range(60)]
+    both = langid.train(spark.createDataFrame(small + large, "doc_id long, text string, lang string"), max_nodes=40)
+    alone = langid.train(spark.createDataFrame(small, "doc_id long, text string, lang string"), max_nodes=40)
+    data = langid.normal("zorvek quiblat")
+    assert both.bits(data)[list(both.langs).index("xx")] == pytest.approx(alone.bits(data)[0])
