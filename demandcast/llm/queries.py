@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import bpe, decontam, embdedup, langid, linededup, lmscore, neardup, pii, toxicity, urls
+from demandcast.llm import bpe, decontam, embdedup, hardneg, langid, lexsearch, linededup, lmscore, neardup, pii, sharding, toxicity, urls
 from demandcast.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,72 @@ FROM base LEFT JOIN own ON own.k = base.k LEFT JOIN spread ON spread.n = base.no
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
+
+
+TERMS = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def _sql_terms(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, '{urls.UPPER}', '{urls.LOWER}'), '{TERMS}')"
+
+
+SEARCH_SQL = f"""WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {_sql_terms('text')} AS terms FROM documents WHERE text IS NOT NULL),
+totals AS (SELECT count(*) AS n_docs, sum(len(terms)) AS length FROM docs WHERE len(terms) > 0),
+counted AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) GROUP BY d, term),
+asked AS (SELECT DISTINCT item_id, unnest({_sql_terms('text')}) AS term FROM benchmark WHERE text IS NOT NULL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+ FROM counted CROSS JOIN totals GROUP BY term, n_docs),
+scores AS (SELECT a.item_id, c.d, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(docs.terms) * n_docs)::BIGINT // length::BIGINT))))::BIGINT AS score
+ FROM asked a JOIN counted c USING (term) JOIN weights USING (term) JOIN docs USING (d) CROSS JOIN totals GROUP BY a.item_id, c.d),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+ FROM scores JOIN docs USING (d) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+@query("op11_lexical_search", SEARCH_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every test item."""
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: CRC-32 in SQL: a table by the reversed polynomial, then one step a byte of the hex digits.
+SHARD_SQL = """WITH RECURSIVE steps(b, c, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL
+ SELECT b, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crcs AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+docs AS (SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) + 1 AS size, md5(coalesce(text, '')) AS digest,
+ row_number() OVER () AS n, string_split(lower(hex(encode(coalesce(text, '')))), '') AS digits FROM documents),
+crc AS (SELECT n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(digits) // 2),
+ lambda i: (instr('0123456789abcdef', digits[2 * i + 1]) - 1) * 16 + instr('0123456789abcdef', digits[2 * i + 2]) - 1)),
+ lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1])), 4294967295) AS crc FROM docs, crcs),
+ordered AS (SELECT *, sum(size) OVER (ORDER BY substr(digest, 1, 15), doc_id NULLS FIRST, n) AS ends, sum(size) OVER () AS total FROM docs),
+placed AS (SELECT *, least(15, ((2 * ends - size) * 16)::BIGINT // (2 * total)::BIGINT)::INT AS shard FROM ordered)
+SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard,
+ row_number() OVER (PARTITION BY shard ORDER BY ends) - 1 AS slot, NULL::INT AS grown_shard FROM placed JOIN crc USING (n)"""
+
+
+@query("op12_sampled_splitters", SHARD_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under equal bytes."""
+    return sharding.assign(table(spark, sf_dir, "documents"), shards=16)
+
+
+NEGATIVES_SQL = """WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+ list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor, a.label AS own, v.vec_id AS id, v.label, list_inner_product(a.q, v.q)::BIGINT AS score
+ FROM v a JOIN v ON a.vec_id % 50 = 0 AND len(a.q) = len(v.q)),
+positives AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor, own ORDER BY score DESC, id) AS r FROM scored
+ WHERE own = label AND id <> anchor) WHERE r <= 5),
+negatives AS (SELECT p.anchor AS anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor, p.own, p.r ORDER BY s.score DESC, s.id) AS rank,
+ s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+ FROM positives p JOIN scored s ON s.anchor = p.anchor AND s.own = p.own AND s.label <> s.own
+ AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT * FROM negatives WHERE rank <= 3"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives between half and 95 % of each positive's score, for the anchors among the embeddings."""
+    vectors = table(spark, sf_dir, "embeddings")
+    turned = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hardneg.mine(turned, lambda key: key % 50 == 0)

@@ -18,7 +18,7 @@ def test_matches_sql(spark, sf, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14)) and "pipeline" in QUERIES
 
 
 def test_url_sql_spreads_over_links(spark, tmp_path):
