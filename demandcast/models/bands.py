@@ -33,15 +33,19 @@ def bootstrap_bands(forecasts: DataFrame, residuals: DataFrame, key: Sequence[st
                     seed: int = 42) -> DataFrame:
     """Mean, p10 and p90 of ``samples`` residual draws around each forecast.
 
-    A draw is picked by a hash of (group, horizon, date, draw number, seed), so a re-run or a
-    recomputed partition draws the same residuals.
+    A draw is picked by a digest of (group, horizon, date, draw number, seed), so a re-run, a
+    recomputed partition or another engine draws the same residuals.
     """
     pool = residuals.where(F.col("residual").isNotNull()).groupBy(*key).agg(
         F.sort_array(F.collect_list("residual")).alias("_pool"))
     rows = forecasts.drop("yhat_p10", "yhat_p90").join(pool, list(key), "left")
-    identity = [F.col(c) for c in (*key, "h", "date")]
-    draws = F.sort_array(F.transform(F.sequence(F.lit(1), F.lit(samples)), lambda i: F.col("yhat") + F.get(
-        "_pool", F.pmod(F.xxhash64(*identity, i, F.lit(seed)), F.size("_pool")).cast("int"))))
+    identity = F.concat_ws("|", *[F.col(c).cast("string") for c in (*key, "h", "date")])
+
+    def pick(i: Column) -> Column:
+        digest = F.md5(F.concat_ws("|", identity, i.cast("string"), F.lit(str(seed))))
+        return F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), F.size("_pool")).cast("int")
+
+    draws = F.sort_array(F.transform(F.sequence(F.lit(1), F.lit(samples)), lambda i: F.col("yhat") + F.get("_pool", pick(i))))
     out = rows.withColumn("_d", draws)
     mean = F.aggregate("_d", F.lit(0.0), lambda a, v: a + v) / samples
     return out.withColumns({"yhat": mean, "yhat_p10": _percentile(F.col("_d"), 0.1),
