@@ -1,32 +1,20 @@
-"""Direct multi-horizon models on MLlib: one model per (origin, horizon), shared by all series.
+"""Direct multi-horizon models by name, with the choice of inputs that they share.
 
-The training table is assembled once and kept while the fits run; the fits themselves are
-independent Spark jobs and are submitted from a few driver threads. Training rows end
-``h`` days before the origin's ``train_end``, so no label reaches into the test window, and
-forecasts start from the features at ``train_end``.
+One model per origin and horizon serves all series. Training rows end ``h`` days before the
+origin's ``train_end``, so no label reaches into the test window, and forecasts start from
+the features at ``train_end``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Sequence
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from demandcast.functions.columns import col, no_nan
-from demandcast.operators.clean import screen_features
-from demandcast.operators.features import add_labels, lookback_windows
-from demandcast.operators.splits import split_rows
-from demandcast.session import materialise, scratch_path
-from demandcast.sources.writers import write_manifest
-
-MISSING = -1.0e6  # trees see a missing input as its own far-away branch
+from demandcast.models import boosting, glm, sequence
+from demandcast.models.boosting import objective_grid
+from demandcast.operators.clean import LABEL, numeric_columns, screen_features, sequence_features
 
 
 def candidate_features(df: DataFrame, target: str = "y", key: Sequence[str] = ("product", "date"),
@@ -36,211 +24,61 @@ def candidate_features(df: DataFrame, target: str = "y", key: Sequence[str] = ("
     return [r.feature for r in kept]
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features", missing: float = MISSING) -> DataFrame:
-    ready = df.withColumns({f"_f{i}": F.coalesce(no_nan(col(c).cast("double")), F.lit(missing))
-                            for i, c in enumerate(features)})
-    names = [f"_f{i}" for i in range(len(features))]
-    return VectorAssembler(inputCols=names, outputCol=out).transform(ready).drop(*names)
-
-
-def training_rows(df: DataFrame, origin: Row, h: int, time: str = "date") -> DataFrame:
-    """Rows whose label at distance ``h`` is known on the origin's last training day."""
-    return df.where((F.col(time) <= F.date_sub(F.lit(origin.train_end), h)) & F.col(f"y_{h}").isNotNull())
-
-
-def importances(model, features: Sequence[str], spark) -> DataFrame:
-    """Feature importance table, most important first."""
-    rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
-
-
-def importance_until(df: DataFrame, features: Sequence[str], h: int, origin: Row, max_iter: int = 5,
-                     max_depth: int = 3, seed: int = 42) -> DataFrame:
-    """Importance of each feature for horizon ``h`` on the training rows of an origin."""
-    rows = assemble(training_rows(df, origin, h), features)
-    model = GBTRegressor(featuresCol="features", labelCol=f"y_{h}", maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(rows)
-    return importances(model, features, df.sparkSession)
-
-
-def union_top(a: DataFrame, b: DataFrame, k: int = 40) -> DataFrame:
-    """Sorted distinct union of the k most important features of two tables."""
-    def head(t: DataFrame) -> DataFrame:
-        return t.orderBy(F.desc("importance"), "feature").limit(k).select("feature")
-
-    return head(a).union(head(b)).distinct().orderBy("feature")
-
-
-def select_features(df: DataFrame, features: Sequence[str], origin: Row, horizon: int, k: int = 40, **gbt) -> list[str]:
-    """Top-k for the first horizon joined with top-k for the last one.
+def possible_inputs(df: DataFrame, target: str = "y", key: Sequence[str] = ("product", "date")) -> list[str]:
+    """Numeric columns that are neither key, target nor label; each origin screens them on its own training rows."""
+    return [c for c in numeric_columns(df, (target, *key)) if not LABEL.fullmatch(c)]
 
-    With no more than ``k`` candidates both lists hold all of them and nothing is fitted.
-    """
-    if len(features) <= k:
-        return sorted(features)
-    first = importance_until(df, features, 1, origin, **gbt)
-    last = importance_until(df, features, horizon, origin, **gbt)
-    return [r.feature for r in union_top(first, last, k).collect()]
-
-
-def _run(tasks: Sequence, work: Callable, parallelism: int, spark: SparkSession) -> list:
-    pool = ThreadPool(min(parallelism, max(len(tasks), 1)))
-    try:
-        return pool.map(inheritable_thread_target(spark)(work), tasks)
-    finally:
-        pool.close()
 
+def union_top(importance: DataFrame, k: int = 40, horizons: Sequence[int] = (1, 7), group: Sequence[str] = ("origin_id",)) -> DataFrame:
+    """Distinct union of the ``k`` most important features of each of ``horizons``, per group.
 
-def _backtest(panel: DataFrame, table: DataFrame, origins: DataFrame, fit: Callable, horizon: int, y: str,
-              key: Sequence[str], time: str, model: str, log1p: bool, parallelism: int) -> DataFrame:
-    """Fit every (origin, horizon), forecast from the origin's last training day, add bands.
-
-    Each task fits, scores its rows and writes one small row per series (forecast and residual
-    percentiles) under its own ``origin_id=../h=..`` folder; the folders read back as one table.
+    Equal importances are ranked by name. ``importance`` has (group, h, feature, importance), a row per feature.
     """
-    spark = panel.sparkSession
-    table = materialise(table).persist(StorageLevel.MEMORY_AND_DISK)
-    root = scratch_path(spark)
-    try:
-        # One row per origin: a handful of dates steers the driver threads.
-        tasks = [(o, h) for o in origins.orderBy("origin_id").collect() for h in range(1, horizon + 1)]
-
-        def work(task) -> bool:
-            origin, h = task
-            label = F.log1p(f"y_{h}") if log1p else F.col(f"y_{h}")
-            train = training_rows(table, origin, h, time).select("features", label.alias("label"))
-            fitted = fit(train)
-            if fitted is None:
-                return False
-            scored = fitted.transform(table.where(F.col(time) <= F.lit(origin.train_end)))
-            center = F.expm1("prediction") if log1p else F.col("prediction")
-            trained = F.col(time) <= F.date_sub(F.lit(origin.train_end), h)
-            # A group holds one residual per training day of one series.
-            band = F.percentile(F.when(trained, F.col(f"y_{h}") - center), F.array(F.lit(0.1), F.lit(0.9)))
-            yhat = F.max(F.when(F.col(time) == F.lit(origin.train_end), center))
-            scored.groupBy(*key).agg(yhat.alias("yhat"), band.alias("_q")).select(
-                *key, "yhat", (F.col("yhat") + F.get("_q", F.lit(0))).alias("yhat_p10"),
-                (F.col("yhat") + F.get("_q", F.lit(1))).alias("yhat_p90"),
-            ).write.parquet(f"{root}/origin_id={origin.origin_id}/h={h}")
-            return True
-
-        if not any(_run(tasks, work, parallelism, spark)):
-            raise ValueError("no origin has enough training rows")
-    finally:
-        table.unpersist()
-    schema = T.StructType([panel.schema[k] for k in key] + [
-        T.StructField(c, T.DoubleType()) for c in ("yhat", "yhat_p10", "yhat_p90")] + [
-        T.StructField(c, T.IntegerType()) for c in ("origin_id", "h")])
-    predictions = spark.read.schema(schema).parquet(root)
-    truth = split_rows(panel.select(*key, time, F.col(y).alias("y")), origins, "test", time).withColumn(
-        "h", (F.datediff(F.col(time), "test_start") + 1).cast("int"))
-    return truth.join(predictions, [*key, "origin_id", "h"], "left").select(
-        "origin_id", F.col(time).alias("date"), *key, "h", "y", "yhat", "yhat_p10", "yhat_p90", F.lit(model).alias("model"))
+    ranked = Window.partitionBy(*group, "h").orderBy(F.col("importance").desc_nulls_last(), "feature")
+    top = importance.where(F.col("h").isin(*horizons)).withColumn("_r", F.row_number().over(ranked)).where(F.col("_r") <= k)
+    return top.select(*group, "feature").distinct().orderBy(*group, "feature")
 
 
 def boosted_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[str] | None = None, y: str = "y",
                       key: Sequence[str] = ("product",), time: str = "date", horizon: int = 7, max_iter: int = 20,
-                      max_depth: int = 4, log1p: bool = False, seed: int = 42, parallelism: int = 8,
+                      max_depth: int = 4, rate: float = 0.1, log1p: bool = False, top_k: int = 40, max_null_fraction: float = 0.30,
+                      objective: str = "squared", powers: Sequence[float] = (1.1, 1.3, 1.5), interval: float = 0.80,
                       model: str = "boosted_direct") -> DataFrame:
-    """Gradient-boosted trees per origin and horizon with residual bands per series."""
-    features = candidate_features(panel, y, (*key, time)) if features is None else list(features)
-    table = assemble(add_labels(panel, y, horizon, key, time), features).select(
-        *key, time, "features", *[f"y_{h}" for h in range(1, horizon + 1)])
-
-    def fit(train: DataFrame):
-        if train.isEmpty():
-            return None
-        return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
-
-    return _backtest(panel, table, origins, fit, horizon, y, key, time, model, log1p, parallelism)
+    """Gradient-boosted trees per origin and horizon; see :func:`demandcast.models.boosting.boosted_forecasts`."""
+    features = possible_inputs(panel, y, (*key, time)) if features is None else list(features)
+    return boosting.boosted_forecasts(panel, origins, features, y, key, time, horizon, max_iter, max_depth, rate, log1p, top_k, max_null_fraction,
+                                      objective_grid(objective, powers), interval, model)
 
 
 def glm_grid_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[str] | None = None, y: str = "y",
                        key: Sequence[str] = ("product",), time: str = "date", horizon: int = 7,
                        powers: Sequence[float] = (1.1, 1.3, 1.5), poisson: bool = True, reg: float = 0.01,
-                       parallelism: int = 8, model: str = "glm_direct") -> DataFrame:
-    """Poisson and Tweedie objectives per origin and horizon; the best in-sample MAE is kept."""
-    features = candidate_features(panel, y, (*key, time)) if features is None else list(features)
-    table = assemble(add_labels(panel, y, horizon, key, time), features, missing=0.0).select(
-        *key, time, "features", *[f"y_{h}" for h in range(1, horizon + 1)])
-    objectives: list[dict] = [dict(family="poisson", link="log")] if poisson else []
-    objectives += [dict(family="tweedie", variancePower=float(p), linkPower=0.0) for p in powers]
-
-    def fit(train: DataFrame):
-        if train.isEmpty():
-            return None
-        fits = [GeneralizedLinearRegression(featuresCol="features", labelCol="label", predictionCol=f"_p{i}", regParam=reg,
-                                            maxIter=50, **o).fit(train) for i, o in enumerate(objectives)]
-        # All candidates are scored side by side, so their errors come from one pass.
-        side = train
-        for f in fits:
-            side = f.transform(side)
-        errors = side.agg(*[F.avg(F.abs(F.col("label") - F.col(f"_p{i}"))) for i in range(len(fits))]).first()
-        known = [(e, i) for i, e in enumerate(errors) if e is not None]
-        return fits[min(known)[1]].setPredictionCol("prediction") if known else None
-
-    return _backtest(panel, table, origins, fit, horizon, y, key, time, model, False, parallelism)
-
-
-def sequence_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[str] = ("y",), y: str = "y",
-                       key: Sequence[str] = ("product",), time: str = "date", lookback: int = 30, horizon: int = 7,
-                       ridge: float = 0.1, parallelism: int = 8, model: str = "sequence_direct") -> DataFrame:
-    """Look-back window flattened to one vector, ridge regression per origin and horizon.
-
-    The fit standardises its inputs on the training rows of the origin.
-    """
-    windows = lookback_windows(panel, features, y, lookback, 0, key, time)
-    flat = F.transform(F.flatten("x"), lambda v: F.coalesce(v, F.lit(0.0)))
-    labels = add_labels(panel.select(*key, time, y), y, horizon, key, time)
-    table = windows.select(*key, time, array_to_vector(flat).alias("features")).join(
-        labels.drop(y), [*key, time])
+                       max_null_fraction: float = 0.30, interval: float = 0.80, model: str = "glm_direct") -> DataFrame:
+    """Poisson and Tweedie objectives per origin and horizon; the best in-sample MAE is kept. Today's target is an input."""
+    features = [y, *possible_inputs(panel, y, (*key, time))] if features is None else list(features)
+    return glm.glm_forecasts(panel, origins, features, y, key, time, horizon, "all" if poisson else "tweedie", powers, reg, max_null_fraction,
+                             interval, model)
 
-    def fit(train: DataFrame):
-        if train.isEmpty():
-            return None
-        return LinearRegression(featuresCol="features", labelCol="label", regParam=ridge, elasticNetParam=0.0,
-                                solver="normal").fit(train)
 
-    return _backtest(panel, table, origins, fit, horizon, y, key, time, model, False, parallelism)
+def sequence_forecasts(panel: DataFrame, origins: DataFrame, features: Sequence[str] | None = None, y: str = "y",
+                       key: Sequence[str] = ("product",), time: str = "date", lookback: int = 30, horizon: int = 7,
+                       ridge: float = 1.0, log1p: bool = False, interval: float = 0.80, model: str = "sequence_direct") -> DataFrame:
+    """Look-back regression on every numeric channel; see :func:`demandcast.models.sequence.sequence_forecasts`."""
+    channels = sequence_features(panel, y, (*key, time)) if features is None else list(features)
+    return sequence.sequence_forecasts(panel, origins, channels, y, key, time, lookback, horizon, ridge, log1p, interval, model)
 
 
 def save_final_boosted(panel: DataFrame, folder: str, version: str, features: Sequence[str] | None = None, y: str = "y",
                        key: Sequence[str] = ("product",), time: str = "date", horizon: int = 7, max_iter: int = 20,
-                       max_depth: int = 4, log1p: bool = False, seed: int = 42, parallelism: int = 8) -> list[str]:
-    """Refit one model per horizon on the full history and store it with a manifest.
-
-    Models live under ``<folder>/final/<version>/h=<h>``. Returns the features used.
-    """
-    spark = panel.sparkSession
-    features = candidate_features(panel, y, (*key, time)) if features is None else list(features)
-    labelled = add_labels(panel, y, horizon, key, time)
-    table = materialise(assemble(labelled, features).select("features", *[f"y_{h}" for h in range(1, horizon + 1)]))
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def work(h: int) -> bool:
-        label = F.log1p(f"y_{h}") if log1p else F.col(f"y_{h}")
-        train = table.where(F.col(f"y_{h}").isNotNull()).select("features", label.alias("label"))
-        model = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
-        model.write().overwrite().save(f"{folder}/final/{version}/h={h}")
-        return True
-
-    try:
-        _run(range(1, horizon + 1), work, parallelism, spark)
-    finally:
-        table.unpersist()
-    write_manifest(spark, folder, "boosted_direct", version,
-                   {"features": features, "horizon": horizon, "log1p": log1p, "key": list(key), "time": time})
-    return features
-
-
-def score_final_boosted(panel: DataFrame, folder: str, version: str, features: Sequence[str], key: Sequence[str] = ("product",),
-                        time: str = "date", horizon: int = 7, log1p: bool = False) -> DataFrame:
-    """Forecast the days after each series' last row with the stored models."""
-    last = assemble(panel, features).groupBy(*key).agg(F.max(time).alias("_last"), F.max_by("features", time).alias("features"))
-    last = materialise(last)
-    out: DataFrame | None = None
-    for h in range(1, horizon + 1):
-        scored = GBTRegressionModel.load(f"{folder}/final/{version}/h={h}").transform(last)
-        value = F.expm1("prediction") if log1p else F.col("prediction")
-        part = scored.select(*key, F.date_add("_last", h).alias("date"), F.lit(h).alias("h"), value.alias("yhat"))
-        out = part if out is None else out.unionByName(part)
-    return out
+                       max_depth: int = 4, rate: float = 0.1, log1p: bool = False, top_k: int = 40, max_null_fraction: float = 0.30,
+                       objective: str = "squared", powers: Sequence[float] = (1.1, 1.3, 1.5), interval: float = 0.80) -> list[str]:
+    """Refit on the full history and store centre, bands and chosen objectives; returns the features used."""
+    features = possible_inputs(panel, y, (*key, time)) if features is None else list(features)
+    return boosting.save_final(panel, folder, version, features, y, key, time, horizon, max_iter, max_depth, rate, log1p, top_k, max_null_fraction,
+                               objective_grid(objective, powers), interval)
+
+
+def score_final_boosted(panel: DataFrame, folder: str, version: str, key: Sequence[str] = ("product",), time: str = "date",
+                        log1p: bool = False) -> DataFrame:
+    """Forecast the days after each series' last row with the stored trees and bands."""
+    return boosting.score_final(panel, folder, version, key, time, log1p)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,9 @@ from demandcast.constants import (
 )
 from demandcast.functions.columns import col, parse_number, parse_time, title_name
 
+#: Names of direct labels.
+LABEL = re.compile(r"y_\d+")
+
 
 def reverse_one_hot(df: DataFrame, prefix: str = "product_", out: str = "product", drop: bool = False) -> DataFrame:
     """Product name from one-hot columns; the first column wins ties and all-false rows."""
@@ -219,8 +223,8 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def sequence_features(df: DataFrame, target: str = "y", exclude: Sequence[str] = ("date", "product")) -> list[str]:
-    """Numeric model inputs with the target as the first channel when it is not among them."""
-    cols = [c for c in numeric_columns(df, exclude) if not c.startswith("y_")]
+    """Numeric model inputs with the target as the first channel when it is not among them; labels (``y_1``, ``y_2``, ...) are none."""
+    cols = [c for c in numeric_columns(df, exclude) if not LABEL.fullmatch(c)]
     return cols if target in cols or target not in df.columns else [target, *cols]
 
 
@@ -229,9 +233,9 @@ def screen_features(df: DataFrame, target: str = "y", key: Sequence[str] = ("pro
     """Candidate inputs with null fraction and a varies flag, in one aggregate pass.
 
     A column varies when its minimum and maximum differ, which spares a distinct count
-    per column.
+    per column. Labels (``y_1``, ``y_2``, ...) are no inputs; lags and rollings of the target are.
     """
-    names = [c for c in numeric_columns(df, (target, *key)) if not c.startswith("y_")]
+    names = [c for c in numeric_columns(df, (target, *key)) if not LABEL.fullmatch(c)]
     stats = df.agg(
         *[F.avg(col(c).isNull().cast("int")).alias(f"null_{i}") for i, c in enumerate(names)],
         *[(F.min(col(c)) < F.max(col(c))).alias(f"vary_{i}") for i, c in enumerate(names)],
