@@ -28,7 +28,7 @@ DEFAULT_FUTURE_EXOG = {
 # Metric names in reporting order, default selection priority, family order of a tie.
 METRICS = ("MAE", "RMSE", "sMAPE", "MAPE", "COV_p10_p90_%")
 METRIC_PRIORITY = ("sMAPE", "RMSE", "MAE", "MAPE")
-FAMILY_ORDER = ("boosted_direct", "additive", "seasonal_ar", "sequence_direct", "baselines")
+FAMILY_ORDER = ("boosted_direct", "glm_direct", "additive", "seasonal_arma", "seasonal_ar", "sequence_direct", "baselines")
 EXCLUDED_FROM_SIMPLE_BEST = ("baseline", "baselines", "ensemble")
 
 # Recipes: grams or millilitres of each ingredient in one unit; and price per gram / ml.
