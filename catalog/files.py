@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from catalog.base import BASELINES, PANEL0, TX, metric_sql, panel, plain, query, sales, shown, table
 from catalog.backtests import backtest
 from demandcast.operators import clean
-from demandcast.operators.metrics import metrics_overall
+from demandcast.operators.metrics import metrics_by_h, metrics_overall
 from demandcast.operators.selection import model_ranking
-from demandcast.session import scratch_path
+from demandcast.session import materialise, scratch_path
 from demandcast.sources import readers, writers
 
 M4 = "MAE RMSE MAPE sMAPE"
@@ -112,10 +112,43 @@ def _(spark, sf):
 @query("feature_list_file", "SELECT DISTINCT p_type AS feature FROM part")
 def _(spark, sf):
     root = scratch_path(spark)
-    writers.write_feature_list(spark, [r[0] for r in table(spark, sf, "part").select("p_type").distinct().collect()], root)
+    writers.write_features(table(spark, sf, "part").select(F.col("p_type").alias("feature")), root)
     return spark.read.csv(f"{root}/features_selected", header=True)
 
 
+@query("scan_metric_files", f"WITH {PANEL0}, {BASELINES}, m AS ({metric_sql('model')}), h AS ({metric_sql('model', 'h')}) " +
+       "SELECT model, CAST(NULL AS INTEGER) AS h, " + ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in M4.split()) + " FROM m UNION ALL SELECT model, h, " +
+       ", ".join(f"ROUND({c}, 6) + 0.0 AS {c}" for c in M4.split()) + " FROM h")
+def _(spark, sf):
+    """One file per model, each with its columns in another order; the pooled file is left out."""
+    fc = materialise(backtest(spark, sf)[2])
+    root = scratch_path(spark)
+    for i, name in enumerate(("naive1", "snaive7", "ma7")):
+        own = fc.where(F.col("model") == name)
+        columns = M4.split()[i:] + M4.split()[:i]
+        metrics_overall(own).select(*columns).coalesce(1).write.csv(f"{root}/o{i}", header=True)
+        metrics_by_h(own).select(*columns, "h", F.lit("more").alias("note")).coalesce(1).write.csv(f"{root}/h{i}", header=True)
+        writers.rename_single(spark, f"{root}/o{i}", f"{root}/all/{name}_metrics_overall.csv")
+        writers.rename_single(spark, f"{root}/h{i}", f"{root}/all/{name}_metrics_by_h.csv")
+    metrics_overall(fc).select(*M4.split()).limit(1).coalesce(1).write.csv(f"{root}/pooled", header=True)
+    writers.rename_single(spark, f"{root}/pooled", f"{root}/all/all_models_metrics_overall.csv")
+    overall = readers.read_overall_metrics(spark, f"{root}/all").withColumn("h", F.lit(None).cast("int"))
+    return plain(overall.unionByName(readers.read_metrics_by_h(spark, f"{root}/all")).select("model", "h", *M4.split()))
+
+
+@query("block_fingerprints", """WITH t AS (SELECT n_nationkey, n_name || chr(10) AS s FROM nation),
+ b AS (SELECT n_nationkey, length(s) AS n, i, sha1(substr(s, CAST(4 * i + 1 AS BIGINT), 4)) AS d FROM t, (SELECT UNNEST(generate_series(0, 20)) AS i) WHERE 4 * i < length(s))
+ SELECT n_nationkey, CASE WHEN n <= 4 THEN ANY_VALUE(d) ELSE sha1(string_agg(d, '' ORDER BY i)) END AS sha1 FROM b GROUP BY n_nationkey, n""")
+def _(spark, sf):
+    """Blocks of four bytes of one small file per nation, joined to a digest per file."""
+    root = scratch_path(spark)
+    names = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    names.withColumn("k", F.col("n_nationkey")).repartition("n_nationkey").select("k", "n_name").write.partitionBy("k").text(root)
+    files = readers.file_sizes(spark, f"{root}/k=*/*.txt")
+    digests = readers.tree_digests(readers.block_digests(files, 4))
+    return digests.select(F.regexp_extract("path", r"k=(\d+)/", 1).cast(names.schema["n_nationkey"].dataType).alias("n_nationkey"), "sha1")
+
+
 @query("run_fingerprints", "SELECT n_nationkey, sha1(n_name || chr(10)) AS sha1, CAST(length(n_name) + 1 AS BIGINT) AS length FROM nation")
 def _(spark, sf):
     """One text file per nation, found again by its digest."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import ORIGINS, PANEL0, exog, panel, plain, query, shown, table
 from catalog.panels import complete
-from demandcast.models import bands, direct, series
+from demandcast.models import bands, boosting, direct, series
 from demandcast.operators import features as fe, selection, splits
 from demandcast.operators.metrics import metrics_by_h, metrics_overall
 from demandcast.operators.rollup import daily_total
@@ -54,6 +54,20 @@ AR = """lg AS (SELECT product, date, y, LAG(y, 1) OVER s AS a, LAG(y, 7) OVER s
 BAND = "yhat, yhat - {z} * sigma AS yhat_p10, yhat + {z} * sigma AS yhat_p90".format(z=series.Z80)
 
 
+@query("bootstrap_bands_plain", f"""WITH {PANEL0}, {ADDITIVE}, re AS (SELECT dm.origin_id, dm.product, dy - b * dt AS e FROM dm JOIN sl USING (origin_id, product)),
+ pool AS (SELECT product, origin_id, LIST(e ORDER BY e) AS pool FROM re GROUP BY 1, 2),
+ dr AS (SELECT ad.*, yhat + pool[CAST(('0x' || substr(md5(ad.product || '|' || ad.origin_id || '|' || h || '|' || CAST(ad.date AS VARCHAR) || '|' || i || '|42'), 1, 12))::BIGINT % len(pool) AS BIGINT) + 1] AS v
+ FROM ad JOIN pool USING (origin_id, product), (SELECT UNNEST(generate_series(1, 50)) AS i)),
+ r AS (SELECT origin_id, date, product, h, ANY_VALUE(y) AS y, AVG(v) AS yhat, quantile_cont(v, 0.1) AS yhat_p10, quantile_cont(v, 0.9) AS yhat_p90 FROM dr GROUP BY 1, 2, 3, 4) """
+       + shown("origin_id product h", "y yhat yhat_p10 yhat_p90", "r", digits=4, dates="date"))
+def _(spark, sf):
+    """Fifty residual draws around each forecast, the same in both engines."""
+    p = complete(spark, sf, True).drop("revenue")
+    o = materialise(gated(p))
+    got = bands.bootstrap_bands(series.additive_forecasts(p, o, []), series.additive_residuals(p, o, []), ["product", "origin_id"])
+    return plain(got.select("origin_id", "date", "product", "h", "y", "yhat", "yhat_p10", "yhat_p90"), digits=4)
+
+
 @query("additive_plain", f"WITH {PANEL0}, {ADDITIVE}, r AS (SELECT origin_id, date, product, h, y, {BAND} FROM ad) "
        + shown("origin_id product h", "y yhat yhat_p10 yhat_p90", "r", digits=4, dates="date"))
 def _(spark, sf):
@@ -114,32 +128,30 @@ def full_features(spark, sf):
 
 @query("fit_boosted_direct")
 def _(spark, sf):
+    """Trees on the union of the most important inputs of each origin."""
     p = full_features(spark, sf)
     return plain(direct.boosted_forecasts(p, gated(p)), digits=4)
 
 
 @query("fit_glm_grid")
 def _(spark, sf):
+    """Every screened input, Poisson and three Tweedie powers per origin and horizon."""
     p = full_features(spark, sf)
-    feats = ["y", "y_lag_1", "y_lag_7", "y_roll_7", "y_roll_30", "dow_sin", "dow_cos"]
-    return plain(direct.glm_grid_forecasts(p, gated(p), feats), digits=4)
+    return plain(direct.glm_grid_forecasts(p, gated(p)), digits=4)
 
 
 @query("fit_sequence_regression")
 def _(spark, sf):
-    p = modelling_panel(spark, sf)
-    return plain(direct.sequence_forecasts(p, gated(p), ["y"]), digits=4)
+    """Thirty days of every numeric channel."""
+    p = full_features(spark, sf)
+    return plain(direct.sequence_forecasts(p, gated(p)), digits=4)
 
 
 @query("feature_importance")
 def _(spark, sf):
+    """Permutation importance of every input, for all origins and horizons."""
     p = full_features(spark, sf)
-    feats = direct.candidate_features(p)
-    origin = splits.rolling_origins(p, n_origins=1).first()
-    labelled = fe.add_labels(p)
-    first = direct.importance_until(labelled, feats, 1, origin)
-    last = direct.importance_until(labelled, feats, 7, origin)
-    return direct.union_top(first, last, 10).join(first, "feature", "left")
+    return plain(boosting.feature_importance(p, materialise(gated(p)), direct.possible_inputs(p)), digits=6)
 
 
 @query("residual_bands")
@@ -191,9 +203,9 @@ def _(spark, sf):
 
 @query("backtest_families")
 def _(spark, sf):
-    """Every light family over all origins, ranked as one selection run."""
-    p = modelling_panel(spark, sf)
-    fc = materialise(run_backtest(p, families=("baselines", "additive", "seasonal_ar", "sequence_direct")))
+    """Every family over all origins, ranked as one selection run."""
+    p = full_features(spark, sf)
+    fc = materialise(run_backtest(p))
     ranked = selection.select_family(metrics_by_h(fc, ["family"]), model="family")
     return plain(ranked.join(metrics_overall(fc, ["family"]), "family"), digits=4)
 

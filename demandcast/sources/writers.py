@@ -132,9 +132,26 @@ def write_registry(best: DataFrame, folder: str, horizon: int, metric: str = "sM
     entry.write.mode("overwrite").json(f"{folder.rstrip('/')}/registry")
 
 
+def write_features(features: DataFrame, folder: str) -> None:
+    """Distinct names of the column ``feature`` as a CSV list, written where they are."""
+    features.select("feature").distinct().write.mode("overwrite").csv(f"{folder.rstrip('/')}/features_selected", header=True)
+
+
 def write_feature_list(spark: SparkSession, features: Sequence[str], folder: str) -> None:
-    spark.createDataFrame([(f,) for f in features], "feature string").write.mode("overwrite").csv(
-        f"{folder.rstrip('/')}/features_selected", header=True)
+    """The same for a list of names."""
+    write_features(spark.createDataFrame([(f,) for f in features], "feature string"), folder)
+
+
+def rename_single(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the only part file of a small written table to a path of its own, through the store's own file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    source = hadoop(folder)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [f.getPath() for f in system.listStatus(source) if f.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise ValueError(f"{folder} has {len(parts)} part files")
+    system.mkdirs(hadoop(target).getParent())
+    system.rename(parts[0], hadoop(target))
 
 
 def run_metadata(spark: SparkSession, params: Mapping[str, object], fingerprints: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from demandcast.models import bands, direct, series
+from demandcast.models import bands, boosting, direct, series
 from demandcast.models.linear import solve_normal
 from demandcast.operators import baselines, splits
 from demandcast.operators.features import add_causal_features
@@ -171,23 +171,17 @@ def test_glm_grid_keeps_one_objective(panel):
     assert got.count() == 12 and got.where("yhat IS NULL OR yhat <= 0").count() == 0
 
 
-def test_direct_labels_stop_before_the_test_window(panel):
-    from demandcast.operators.features import add_labels
+def test_direct_labels_stop_before_the_test_window():
+    days, labels = np.arange(100, 140), np.arange(80.0).reshape(40, 2)
+    labels[3, 1] = np.nan
+    fit = boosting.Fit(1, 120, 2, (0,))
+    assert days[boosting.trained_on(fit, days, labels)].tolist() == [d for d in range(100, 119) if d != 103]
 
-    origin = splits.rolling_origins(panel, 1, 7).first()
-    rows = direct.training_rows(add_labels(panel), origin, 5)
-    assert rows.agg(F.max("date")).first()[0] == origin.train_end - dt.timedelta(days=5)
 
-
-def test_importance_union(panel):
-    feats = add_causal_features(panel)
-    from demandcast.operators.features import add_labels
-
-    origin = splits.rolling_origins(panel, 1, 7).first()
-    names = ["y", "y_lag_7", "y_roll_7"]
-    imp = direct.importance_until(add_labels(feats), names, 7, origin)
-    assert imp.count() == 3 and imp.first().importance >= imp.collect()[-1].importance
-    assert [r.feature for r in direct.union_top(imp, imp, 2).collect()] == sorted(r.feature for r in imp.limit(2).collect())
+def test_importance_union(spark):
+    rows = [(o, h, f"f{i}", float(i * (h == 1) - i * (h == 7))) for o in (1, 2) for h in (1, 7) for i in range(5)] + [(1, 3, "none", 99.0), (2, 1, "tie", 4.0)]
+    got = direct.union_top(spark.createDataFrame(rows, "origin_id int, h int, feature string, importance double"), 2).collect()
+    assert [(r.origin_id, r.feature) for r in got] == [(1, f) for f in ("f0", "f1", "f3", "f4")] + [(2, f) for f in ("f0", "f1", "f4", "tie")]
 
 
 def test_bootstrap_is_deterministic_and_covers(panel, origins):
@@ -231,15 +225,24 @@ def test_outlook_follows_the_history(panel):
 
 
 def test_final_boosted_round_trip(spark, panel, tmp_path):
-    feats = add_causal_features(panel)
-    names = ["y", "y_lag_7", "y_roll_7"]
-    args = dict(horizon=2, log1p=True)
+    """Stored trees, bands and objectives give what the fit on the full history gives."""
+    feats = add_causal_features(panel).cache()
+    names = ["y_lag_1", "y_lag_7", "y_roll_7"]
+    args = dict(horizon=2, log1p=True, objective="all")
     assert direct.save_final_boosted(feats, str(tmp_path), "v1", names, max_iter=3, **args) == names
-    got = direct.score_final_boosted(feats, str(tmp_path), "v1", names, **args)
-    assert got.count() == 12 and got.where("yhat < 5 OR yhat > 50").count() == 0
+    got = direct.score_final_boosted(feats, str(tmp_path), "v1", log1p=True)
+    assert got.count() == 12 and got.where("yhat < 5 OR yhat > 50 OR yhat_p10 >= yhat_p90 OR yhat_p10 IS NULL").count() == 0
+    assert got.agg(F.min("date")).first()[0] == dt.date(2024, 1, 1) + dt.timedelta(days=260)
+    from demandcast.operators.splits import final_origin, future_days
     from demandcast.sources.writers import list_versions
 
-    assert list_versions(spark, str(tmp_path)).first().version == "v1"
+    origin = final_origin(feats, 2)
+    longer = feats.unionByName(future_days(feats.select("product").distinct(), origin).select("product", "date"), allowMissingColumns=True)
+    again = direct.boosted_forecasts(longer, origin, names, max_iter=3, **args)
+    both = got.join(again.select("product", "h", F.col("yhat").alias("a"), F.col("yhat_p10").alias("b")), ["product", "h"])
+    assert both.count() == 12 and both.where("abs(yhat - a) > 1e-6 OR abs(yhat_p10 - b) > 1e-6").count() == 0
+    meta = list_versions(spark, str(tmp_path)).first()
+    assert meta.version == "v1" and {o["objective"] for o in __import__("json").loads(meta.meta)["objectives"]} <= {"squared", "poisson", "tweedie"}
 
 
 def test_backtest_job_stores_everything(spark, panel, tmp_path):

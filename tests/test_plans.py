@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from catalog.base import panel, sales, table
-from demandcast.functions.ordered import ordered_slices
+from demandcast.functions.ordered import ordered_slices, running_total, slice_count
 from demandcast.models import series
 from demandcast.operators import baselines, features, kpi, splits
 from demandcast.operators.grid import complete_calendar
@@ -62,15 +62,27 @@ def test_no_cross_joins(spark, sf, name):
 def test_slices_split_a_hot_value(spark):
     """Rows of one leading value spread over slices when a second column orders them."""
     df = spark.range(40_000).select(F.lit(1).alias("hot"), F.col("id"))
-    # So few bytes would be merged into one task again.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        sizes = ordered_slices(df.repartition(8), [F.col("hot"), F.col("id")]).groupBy("_slice").count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = ordered_slices(df.repartition(8), [F.col("hot"), F.col("id")], {"id": "upto"}, slices=4).groupBy("_slice").count().collect()
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 20_000
 
 
+def test_running_totals_move_rows_once(spark):
+    """The order's range exchange is the only one that rows pass; ties, NULLs and negative values sum as in one list."""
+    rows = [(i % 7 // 2, i, None if i % 11 == 0 else float(i % 5 - 2)) for i in range(2_000)]
+    df = materialise(spark.createDataFrame(rows, "tie int, id int, v double"))
+    sliced = df.repartitionByRange(4, "tie", "id").sortWithinPartitions("tie", "id")
+    assert plan(sliced).count("Exchange") == 1
+    got = running_total(df, [F.col("tie"), F.col("id")], {"v": "cum", "id": "ids"}, "rank", slices=4, totals=True)
+    assert "hashpartitioning(_slice" not in plan(got.select("cum")).split("BroadcastExchange")[0]
+    cum = ids = 0
+    for place, (have, (tie, i, v)) in enumerate(zip(got.orderBy("tie", "id").collect(), sorted(rows, key=lambda r: r[:2])), 1):
+        cum, ids = cum + (v or 0), ids + i
+        assert (have.tie, have.id, have["rank"], have.ids) == (tie, i, place, ids) and have.cum == pytest.approx(cum)
+        assert have.ids_total == sum(r[1] for r in rows)
+    assert slice_count(df) == spark.sparkContext.defaultParallelism
+    assert running_total(df.limit(0), [F.col("id")], {"v": "cum"}).count() == 0
+
+
 def test_hot_product_collapses_before_the_shuffle(spark):
     """A third of all sales on one product still leaves one row per product and day to move."""
     df = spark.range(90_000).select(
