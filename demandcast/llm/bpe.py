@@ -35,6 +35,13 @@ BATCH_CHARS = 2_000_000
 _SAFE = re.compile(r"(?<=[A-Za-z0-9.,]) (?=[A-Za-z])")
 
 
+#: White space of the split pattern: the Unicode property, which leaves out the separators 1C to 1F.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Runs of white space from this length on never reach the library's regex engine, whose stack they would exhaust.
+LONG_RUN = 1_000
+_RUN = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+
+
 def cut_points(text: str, size: int = PART_CHARS) -> list[int]:
     """Ends of the parts: the first safe boundary at or after every ``size`` characters."""
     ends, at = [], 0
@@ -64,11 +71,30 @@ def encoder(ranks: bytes, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def stretches(text: str) -> Iterator[tuple[str, bool]]:
+    """(part, whole piece?) in order: long runs of white space, and what lies between them.
+
+    The pattern opens a piece where white space begins. It makes one piece of a run but for its last
+    character if something follows, which the next piece may take along.
+    """
+    at = 0
+    for m in _RUN.finditer(text):
+        if m.start() > at:
+            yield text[at:m.start()], False
+        at = m.end() - (m.end() < len(text))
+        yield text[m.start():at], True
+    if at < len(text):
+        yield text[at:], False
+
+
 def encode_text(enc, text: str, size: int = PART_CHARS) -> np.ndarray:
-    """Ids of a whole text as little-endian unsigned 32-bit integers."""
+    """Ids of a whole text as little-endian unsigned 32-bit integers, whatever its length and content."""
     if len(text) <= size:
         return np.array(enc.encode_ordinary(text), dtype="<u4")
-    return np.concatenate([np.array(enc.encode_ordinary(p), dtype="<u4") for p in parts(text, size)])
+    found = [np.empty(0, "<u4")]
+    for part, whole in stretches(text):
+        found += [np.array(x, dtype="<u4") for x in ([enc._encode_single_piece(part.encode())] if whole else map(enc.encode_ordinary, parts(part, size)))]
+    return np.concatenate(found)
 
 
 def decode_ids(enc, ids: np.ndarray) -> bytes:

@@ -79,6 +79,42 @@ def test_parts_never_change_tokens():
         assert list(bpe.encode_text(enc, text, 100)) == enc.encode_ordinary(text)
 
 
+def merged_by_hand(table, piece):
+    """Byte pairs merged by rank, a queue at a time: for a run of one character, all equal pairs from the left."""
+    raw = [piece[i:i + 1] for i in range(len(piece))]
+    while True:
+        best = min((table[a + b] for a, b in set(zip(raw, raw[1:])) if a + b in table), default=None)
+        if best is None:
+            return [table[x] for x in raw]
+        out, i = [], 0
+        while i < len(raw):
+            if i + 1 < len(raw) and table.get(raw[i] + raw[i + 1]) == best:
+                out.append(raw[i] + raw[i + 1])
+                i += 2
+            else:
+                out.append(raw[i])
+                i += 1
+        raw = out
+
+
+@pytest.mark.parametrize("char", [" ", "\n", "a", "\u8a9e", "\u3000", ".", "1"])
+def test_bpe_of_ten_million_equal_characters(char):
+    """No text crashes the library: long runs give the tokens of their one piece, whatever stands around them."""
+    import base64
+
+    ranks = open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb").read()
+    enc = bpe.encoder(ranks, bpe.PATTERN)
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
+    for n in (30, 2_000):
+        assert enc._encode_single_piece((char * n).encode()) == merged_by_hand(table, (char * n).encode())
+    n = 10_000_000
+    ids = bpe.encode_text(enc, char * n)
+    assert enc.decode_bytes(ids.tolist()) == (char * n).encode()
+    for run in (1_500, 70_000, 200_000):  # lengths that the library itself can take
+        for text in (f"x{char * run}y", f"x. {char * run} y", f"{char * run}\n{char * run}", f"{char * run}", f"\x1c{char * run}\x1c{char * run}\xa0z"):
+            assert bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
+
+
 # --- 3: MinHash near duplicates -------------------------------------------------------------
 
 def shingle_set(text, n=5):
