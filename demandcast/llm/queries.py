@@ -76,10 +76,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
 
 
-@query("op7_lm_scoring")
+#: Words as the operator cuts them, numbered, and the bigrams with the word before.
+LM_SQL = """WITH docs AS (SELECT row_number() OVER () AS d, doc_id, list_filter(regexp_split_to_array(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+ 'abcdefghijklmnopqrstuvwxyz'), ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+tokens AS (SELECT d, doc_id, unnest(w) AS w, unnest(list_prepend(NULL, w[1:len(w) - 1])) AS v FROM docs WHERE len(w) > 0),
+one AS (SELECT w, count(*) AS n FROM tokens GROUP BY w), two AS (SELECT v, w, count(*) AS n FROM tokens WHERE v IS NOT NULL GROUP BY v, w),
+total AS (SELECT count(*) AS n FROM tokens),
+scored AS (SELECT t.doc_id, CASE WHEN t.v IS NULL THEN ln(one.n / total.n) ELSE ln(two.n / before.n) END AS s
+ FROM tokens t CROSS JOIN total JOIN one ON one.w = t.w LEFT JOIN two ON two.v = t.v AND two.w = t.w LEFT JOIN one before ON before.w = t.v)
+SELECT docs.doc_id, sum(len(docs.w))::BIGINT AS n_words, round(coalesce(any_value(x.s), 0.0), 5) + 0.0 AS log_score,
+ round(any_value(x.s) / nullif(sum(len(docs.w)), 0), 5) + 0.0 AS mean_score
+FROM docs LEFT JOIN (SELECT doc_id, sum(s) AS s FROM scored GROUP BY doc_id) x ON x.doc_id = docs.doc_id WHERE docs.doc_id IS NOT NULL GROUP BY docs.doc_id"""
+
+
+@query("op7_lm_scoring", LM_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid-backoff score of every document under the counts of all of them."""
-    return lmscore.score(table(spark, sf_dir, "documents"))
+    scored = lmscore.score(table(spark, sf_dir, "documents"))
+    return scored.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("log_score", "mean_score")})
 
 
 @query("op8_decontamination")

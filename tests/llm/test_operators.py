@@ -275,32 +275,95 @@ def test_short_lines_are_compared(spark):
 
 # --- 7: language-model scores ---------------------------------------------------------------
 
-@pytest.mark.parametrize("top", [65_000, 5, 0])
-def test_backoff_scores_equal_the_definition(spark, monkeypatch, top):
-    """With all words frequent, some, and none of them."""
-    monkeypatch.setattr(lmscore, "TOP", top)
+def language_texts():
     rng = random.Random(2)
     vocabulary = words(9, 60)
     texts = [None, "", "  ", "One", "one one one"] + [" ".join(rng.choice(vocabulary[: rng.choice([5, 60])]) for _ in range(rng.randint(1, 80))) for _ in range(80)]
-    texts += [texts[10], texts[11].upper(), "a " * 70000]
-    tokens = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for t in texts]
-    one, two = {}, {}
+    return texts + [texts[10], texts[11].upper(), "a " * 70000, "\x0bb\x0bc  ", "x" * 300_000 + " one"]
+
+
+def tokens_of(texts):
+    return [re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()) for t in texts]
+
+
+def ngram_counts(tokens, order):
+    out = {}
     for w in tokens:
-        for x in w:
-            one[x] = one.get(x, 0) + 1
-        for p in zip(w, w[1:]):
-            two[p] = two.get(p, 0) + 1
-    total = sum(one.values())
-    want = [sum(np.log(one[w[i]] / total) if i == 0 else np.log(two[w[i - 1], w[i]] / one[w[i - 1]]) if two[w[i - 1], w[i]] >= 2
-                else np.log(0.4 * one[w[i]] / total) for i in range(len(w))) for w in tokens]
-    got = {r.doc_id: r for r in lmscore.score(frame(spark, texts)).collect()}
+        for n in range(1, order + 1):
+            for i in range(len(w) - n + 1):
+                out[tuple(w[i:i + n])] = out.get(tuple(w[i:i + n]), 0) + 1
+    return out
+
+
+def backoff(w, counts, total, order, alpha=0.4):
+    s = 0.0
+    for i in range(len(w)):
+        top = min(order, i + 1)
+        for n in range(top, 0, -1):
+            run = tuple(w[i - n + 1:i + 1])
+            if run in counts or n == 1:
+                s += np.log(counts.get(run, 0.5) / (counts[run[:-1]] if n > 1 else total)) + (top - n) * np.log(alpha)
+                break
+    return s
+
+
+@pytest.mark.parametrize("share", [0.2, 1 / 65_000])
+def test_stupid_backoff_equals_brute_force(spark, monkeypatch, share):
+    """Whether words and bigrams are known to every task or joined to their counts."""
+    monkeypatch.setattr(lmscore, "KNOWN_SHARE", share)
+    texts = language_texts()
+    tokens = tokens_of(texts)
+    counts = ngram_counts(tokens, 2)
+    want = [backoff(w, counts, sum(map(len, tokens)), 2) for w in tokens]
+    got = {r.doc_id: r for r in lmscore.score(frame(spark, texts).repartition(5), partition_rows=3_000).collect()}
     assert len(got) == len(texts) and [got[i].n_words for i in range(len(texts))] == [len(w) for w in tokens]
-    assert np.allclose([got[i].log_score for i in range(len(texts))], want, rtol=1e-9)
+    off = [(i, texts[i] and texts[i][:30], got[i].log_score, want[i]) for i in range(len(texts)) if abs(got[i].log_score - want[i]) > 1e-8 * max(1, abs(want[i]))]
+    assert not off
     assert got[0].mean_score is None and got[3].mean_score == pytest.approx(want[3])
-    if top == 5:
-        twice = lmscore.score(spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a")], "doc_id long, text string")).collect()
-        assert [(r.doc_id, r.n_words) for r in twice] == [(1, 4)]
-        assert lmscore.score(frame(spark, texts).limit(0)).count() == 0
+
+
+def test_scores_of_repeated_and_keyless_rows(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a c a"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.log_score) for r in lmscore.score(docs).collect()}
+    assert got == {1: (4, pytest.approx(2 * (np.log(4 / 7) + np.log(2 / 4)))), 2: (0, 0.0)}
+    assert lmscore.score(docs.limit(0)).count() == 0
+
+
+def test_frequent_ngrams_are_counted_exactly(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["hot", "warm", *[f"w{rng.random()}" for _ in range(5)]], [9, 3, 1, 1, 1, 1, 1], k=40)) for _ in range(300)] + [None]
+    counts = ngram_counts(tokens_of(texts), 2)
+    found = lmscore.frequent(frame(spark, texts).repartition(7), "text", {1: 0.05, 2: 0.05})
+    for n in (1, 2):
+        total = sum(c for g, c in counts.items() if len(g) == n)
+        assert found[n]["total"] == total and len(found[n]["keys"]) <= 4 / 0.05
+        many = sorted(c for g, c in counts.items() if len(g) == n and c >= 0.05 * total)
+        assert sorted(found[n]["counts"])[-len(many):] == many
+    lossy = lmscore.Frequent(0.01)
+    for _ in range(20):
+        lossy.add(np.concatenate([np.arange(1000, dtype=np.uint64) + np.uint64(rng.randrange(1 << 40)), np.full(30, 7, np.uint64)]))
+    assert 7 in lossy.keys and len(lossy.keys) < 400
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_texts_are_scored_against_count_tables(spark, order):
+    """Own texts and strange ones, with words and runs that the tables do not hold."""
+    texts = [t for t in language_texts() if t is None or len(t) < 2_000]
+    strange = [None, "", "one", "never seen", "one never one one", texts[6] + " zzz " + texts[7], texts[8]]
+    counts = ngram_counts(tokens_of(texts), order)
+    total = sum(map(len, tokens_of(texts)))
+    tables = [lmscore.count_table(frame(spark, texts), n) for n in range(1, order + 1)]
+    for some in (texts, strange):
+        got = {r.doc_id: r for r in lmscore.score_against(frame(spark, some), tables).collect()}
+        want = [backoff(w, counts, total, order) for w in tokens_of(some)]
+        assert np.allclose([got[i].log_score for i in range(len(some))], want, atol=1e-9) and [got[i].n_words for i in range(len(some))] == list(map(len, tokens_of(some)))
+    if order == 2:
+        same = {r.doc_id: r.log_score for r in lmscore.score(frame(spark, texts)).collect()}
+        both = {r.doc_id: r.log_score for r in lmscore.score_against(frame(spark, texts), tables).collect()}
+        assert all(same[k] == pytest.approx(both[k], abs=1e-9) for k in same)
+    assert lmscore.score_against(frame(spark, strange).limit(0), tables).count() == 0
+    none = [lmscore.count_table(frame(spark, [None]), n) for n in range(1, order + 1)]
+    assert [r.log_score for r in lmscore.score_against(frame(spark, ["a b"]), none).collect()] == [None]
 
 
 # --- 8: decontamination ---------------------------------------------------------------------
