@@ -176,7 +176,7 @@ def _buckets(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
-    """(a, b, k): pairs within buckets; rows with a NULL ``b`` list members of buckets over the window.
+    """(a, b, k): pairs within buckets; rows with a NULL ``b`` list members of buckets over the window, each once.
 
     Reads rows sorted by (k, digest) as a stream, repeated rows once; a bucket is never held.
     """
@@ -201,23 +201,26 @@ def _candidates(rows: DataFrame) -> DataFrame:
             out = []
             for step in range(1, WINDOW + 1):
                 same = np.flatnonzero((all_k[step:] == all_k[:-step]) & (np.arange(step, len(all_k)) >= len(tail_k)))
-                out.append((all_d[same], all_d[same + step], all_k[same]))
+                out.append((all_d[same], all_d[same + step]))
             far = np.flatnonzero(place > WINDOW)
-            out.append((head_d[far], d[far], k[far]))
-            a, b, kk = (np.concatenate(x) for x in zip(*out))
+            out.append((head_d[far], d[far]))
+            a, b = (np.concatenate(x) for x in zip(*out))
             keep = a != b
-            a, b, kk = a[keep], b[keep], kk[keep]
-            # Rows past the window mark their bucket; its earlier rows come through the pairs.
+            a, b = a[keep], b[keep]
+            # A bucket's first row past the window brings the rows before it; every later one comes by itself.
+            past = np.flatnonzero(place == WINDOW + 1) + len(tail_k)
+            member = np.concatenate([(past[:, None] - np.arange(1, WINDOW + 2)).reshape(-1), far + len(tail_k)]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.minimum(a, b), d[far], head_d[far]])),
-                 pa.array(np.concatenate([np.maximum(a, b), np.zeros(2 * len(far), np.int64)]),
-                          mask=np.concatenate([np.zeros(len(a), bool), np.ones(2 * len(far), bool)])),
-                 pa.array(np.concatenate([kk, k[far], k[far]]))], ["a", "b", "k"])
+                [pa.array(np.concatenate([np.minimum(a, b), all_d[member]])),
+                 pa.array(np.concatenate([np.maximum(a, b), np.zeros(len(member), np.int64)]),
+                          mask=np.concatenate([np.zeros(len(a), bool), np.ones(len(member), bool)])),
+                 pa.array(np.concatenate([np.zeros(len(a), np.int64), all_k[member]]),
+                          mask=np.concatenate([np.ones(len(a), bool), np.zeros(len(member), bool)]))], ["a", "b", "k"])
             if len(begin):
                 lead_k, lead_d, lead_n = k[-1], d[begin[-1]], len(k) - begin[-1]
             else:
                 lead_n += len(k)
-            tail_k, tail_d = all_k[-WINDOW:], all_d[-WINDOW:]
+            tail_k, tail_d = all_k[-WINDOW - 1:], all_d[-WINDOW - 1:]
 
     sorted_rows = rows.select("k", "digest").repartition("k").sortWithinPartitions("k", "digest")
     return map_arrow(sorted_rows, run, "a bigint, b bigint, k bigint")
@@ -328,16 +331,14 @@ def _similar(left: list[str], right: list[str], similarity: float) -> tuple[np.n
     return np.nonzero(common / (size - common) >= similarity - 1e-12)
 
 
-def _links_across(crowd: DataFrame, groups: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _links_across(crowd: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """(a, b): links between members of a bucket in different components, as many as join them.
 
-    ``crowd`` has (k, digest). Every such pair is compared on its shingle sets; of several
+    ``crowd`` has (k, digest, c), the component last. Every such pair is compared on its shingle sets; of several
     links of a cell that join the same components one is returned.
     """
-    known = crowd.join(groups.withColumnRenamed("node", "digest"), "digest", "left").join(texts, "digest").where(
-        F.length("line") >= WIDTH)
-    cells = cross_cells(known.select("k", F.col("digest").alias("id"), F.coalesce("component", "digest").alias("c"),
-                                     (F.length("line") + LINE_WEIGHT).alias("w")), BLOCK)
+    known = crowd.join(texts, "digest").where(F.length("line") >= WIDTH)
+    cells = cross_cells(known.select("k", F.col("digest").alias("id"), "c", (F.length("line") + LINE_WEIGHT).alias("w")), BLOCK)
 
     def of(rows: list[tuple]) -> tuple[list[int], list[int]]:
         i, j = rows[0][1:3]
@@ -375,15 +376,25 @@ def linked_lines(docs: DataFrame, text: str = "text", similarity: float = 0.8) -
     links = materialise(_confirmed(pairs, texts, similarity))
     groups = materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
 
-    wide = found.where("b IS NULL").select("k").distinct()
-    if not wide.isEmpty():
-        # All members of buckets over the window, from their pairs and marks.
-        crowd = found.join(wide, "k").select("k", F.explode(F.array("a", "b")).alias("digest")).where("digest IS NOT NULL").distinct()
-        new = materialise(_links_across(crowd, groups, texts, similarity))
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            groups = materialise(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    return groups.withColumnRenamed("node", "digest")
+    # Members of buckets over the window, of those buckets only that the links leave in several components.
+    member = found.where("b IS NULL").select("k", F.col("a").alias("digest"))
+    if member.isEmpty():
+        return groups.withColumnRenamed("node", "digest")
+    known = materialise(member.join(groups.withColumnRenamed("node", "digest"), "digest", "left").select("k", "digest", F.coalesce("component", "digest").alias("c")))
+    apart = known.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("k")
+    crowd = known.join(apart, "k", "left_semi")
+    new = materialise(_links_across(crowd, texts, similarity))
+    if new.isEmpty():
+        return groups.withColumnRenamed("node", "digest")
+    # The new links join components: the old ones are single nodes of what is left to connect.
+    of = groups.withColumnRenamed("component", "_c")
+    ends = new.join(of.select(F.col("node").alias("a"), F.col("_c").alias("x")), "a", "left").join(
+        of.select(F.col("node").alias("b"), F.col("_c").alias("y")), "b", "left").select(F.coalesce("x", "a").alias("src"), F.coalesce("y", "b").alias("dst"))
+    upper = materialise(connected_components(ends)).select(F.col("node").alias("_c"), F.col("component").alias("_top"))
+    moved = of.join(upper, "_c", "left").select("node", F.coalesce("_top", "_c").alias("component"))
+    # Lines that only the new links reach are their own component so far.
+    fresh = upper.join(of.select(F.col("node").alias("_c")), "_c", "left_anti").select(F.col("_c").alias("node"), F.col("_top").alias("component"))
+    return moved.unionByName(fresh).withColumnRenamed("node", "digest")
 
 
 def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = 0.8) -> DataFrame:
