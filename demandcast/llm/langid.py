@@ -17,17 +17,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import map_arrow
+from demandcast.session import materialise
 
 #: Bytes of context at most.
 ORDER = 4
 #: Documents per language to learn from, about; drawn by a hash of their text.
 TRAIN_DOCS = 3000
-#: Nodes kept per language and length, the most frequent ones; bounds the broadcast model.
-MAX_NODES = 250_000
 #: Bytes scored at a time.
 CHUNK = 1 << 19
 
@@ -242,19 +241,16 @@ def build_model(names: np.ndarray, length: np.ndarray, gram: np.ndarray, n: np.n
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER,
-          per_lang: int = TRAIN_DOCS, max_nodes: int = MAX_NODES) -> Model:
+          per_lang: int = TRAIN_DOCS) -> Model:
     """A frozen model from rows with text and language; rows without either teach nothing.
 
-    Counts are summed by Spark; the driver gets at most ``max_nodes`` nodes per language and
-    length, the most frequent ones (ties by bytes), so no language loses nodes to another one.
+    Counts are summed by Spark over about ``per_lang`` documents of each language; the driver gets every
+    string of theirs, so code lengths are exact for that sample, which is the only bound.
     """
     known = docs.where(F.col(f"`{text}`").isNotNull() & F.col(f"`{lang}`").isNotNull())
-    counts = gram_counts(training_sample(known, lang, key, per_lang), text, lang, order).persist()
+    counts = materialise(gram_counts(training_sample(known, lang, key, per_lang), text, lang, order))
     # As Arrow columns: a Python object per node would take ten times the model's memory on the driver.
-    place = F.row_number().over(Window.partitionBy("lang", "length").orderBy(F.desc("n"), "gram"))
-    kept = counts.withColumn("_place", place).where(F.col("_place") <= max_nodes).drop("_place")
-    parts = [kept.where(F.col("length") == n).toArrow() for n in range(1, order + 2)]
-    counts.unpersist()
+    parts = [counts.where(F.col("length") == n).toArrow() for n in range(1, order + 2)]
     whole = pa.concat_tables(parts)
     langs = pc.dictionary_encode(whole["lang"]).combine_chunks()
     words = np.array(langs.dictionary.to_pylist(), dtype=np.str_)

@@ -596,7 +596,7 @@ def test_redirect_table_adds_edges(spark):
 def test_a_small_language_keeps_its_strings_next_to_a_large_one(spark):
     small = [(1000, "zorvek quiblat", "xx")]
     large = [(i, " ".join(words(i, 40)) + " " + " ".join(words(i // 2, 40)), "aa") for i in range(60)]
-    both = langid.train(spark.createDataFrame(small + large, "doc_id long, text string, lang string"), max_nodes=40)
-    alone = langid.train(spark.createDataFrame(small, "doc_id long, text string, lang string"), max_nodes=40)
+    both = langid.train(spark.createDataFrame(small + large, "doc_id long, text string, lang string"))
+    alone = langid.train(spark.createDataFrame(small, "doc_id long, text string, lang string"))
     data = langid.normal("zorvek quiblat")
     assert both.bits(data)[list(both.langs).index("xx")] == pytest.approx(alone.bits(data)[0])
