@@ -28,8 +28,6 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SUBSTITUTED, DROPPED, KEPT, SHORTENED, MASKED = 0.7, 0.6, 1.5, 0.3, 3.0
 #: Labelled documents per label to learn from, at most about; drawn by a hash of the key.
 TRAIN_DOCS = 12_000
-#: Entries of the lexicon, strongest first; bounds the broadcast model.
-LEXICON = 5_000
 #: Lengths of word beginnings that may be entries.
 STEMS = (4, 5, 6)
 #: Remembered words of a worker before it forgets them.
@@ -287,10 +285,10 @@ def feature_counts(rows: DataFrame, chars: np.ndarray) -> DataFrame:
         "fold", "label", "entry").agg(F.sum("n").alias("n"))
 
 
-def lexicon_of(counts: DataFrame, folds: list[int], sizes: dict[tuple[int, int], int], limit: int = LEXICON) -> dict[str, float]:
+def lexicon_of(counts: DataFrame, folds: list[int], sizes: dict[tuple[int, int], int]) -> dict[str, float]:
     """Entries that mark label 1 beyond chance: a likelihood ratio above that of the best of as many random ones.
 
-    Filtered and ranked by Spark; the driver gets ``limit`` entries.
+    Filtered by Spark; the driver gets all that pass, each from three or more documents of the bounded sample.
     """
     n1, n0 = (float(sum(sizes.get((f, y), 0) for f in folds)) for y in (1, 0))
     if not n1 or not n0:
@@ -304,7 +302,7 @@ def lexicon_of(counts: DataFrame, folds: list[int], sizes: dict[tuple[int, int],
     odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
     ranked = wide.select("entry", g2.alias("g2"), odds.alias("odds")).where("odds > 1").persist()
     tried = max(wide.count(), 10)
-    rows = ranked.where(F.col("g2") > 2 * math.log(tried) + 6).orderBy(F.desc("g2"), "entry").limit(limit).collect()
+    rows = ranked.where(F.col("g2") > 2 * math.log(tried) + 6).collect()
     ranked.unpersist()
     return {r["entry"]: float(r["odds"]) for r in rows}
 
