@@ -114,8 +114,14 @@ def readings(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+#: Masked characters from which a token is decoded on arrays, and positions between two stored rows of costs.
+MASKS, STRIDE = 4, 64
+
+
 def restore(token: str, model: np.ndarray) -> str:
     """The reading of least cost; exact, as the model looks at three symbols back."""
+    if token.count("*") >= MASKS:
+        return restore_dense(readings(token), model)
     best: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
     for options in readings(token):
         new: dict[tuple[int, int, int], tuple[float, str]] = {}
@@ -133,6 +139,64 @@ def restore(token: str, model: np.ndarray) -> str:
     return min((cost + (float(model[a, b, c, 0]) if c else 0.0), text) for (a, b, c), (cost, text) in best.items())[1].strip()
 
 
+def _step(cost: np.ndarray, options: list[tuple[str, float]], model: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Costs of all states after one position; with ``back`` the symbol that left each state, or -1 where it stayed."""
+    new = np.full(cost.shape, np.inf)
+    stayed = min((p for x, p in options if x == ""), default=np.inf)
+    new = np.minimum(new, cost + stayed)
+    # A space after a boundary, or at the beginning, changes nothing.
+    space = min((p for x, p in options if x == " "), default=np.inf)
+    new[:, :, 0] = np.minimum(new[:, :, 0], cost[:, :, 0] + space)
+    came = np.full(cost.shape, -1, np.int8) if back else None
+    by_symbol: dict[int, float] = {}
+    for x, p in options:
+        if x:
+            by_symbol[code(x)] = min(p, by_symbol.get(code(x), np.inf))
+    symbols = np.array(sorted(by_symbol), int)
+    if len(symbols):
+        moved = cost[:, :, :, None] + model[:, :, :, symbols]
+        if 0 in by_symbol:
+            moved[:, :, 0, np.searchsorted(symbols, 0)] = np.inf
+        least = moved.min(axis=0) + np.array([by_symbol[x] for x in symbols.tolist()])
+        better = least < new[:, :, symbols]
+        if back:
+            at = came[:, :, symbols]
+            at[better] = moved.argmin(axis=0)[better]
+            came[:, :, symbols] = at
+        new[:, :, symbols] = np.where(better, least, new[:, :, symbols])
+    return new, came
+
+
+def restore_dense(lattice: list[list[tuple[str, float]]], model: np.ndarray) -> str:
+    """The same by arrays over all states, in time and memory linear in the token.
+
+    Rows of costs are kept every ``STRIDE`` positions and the way back is found stretch by stretch. The state is
+    (two before, one before, last); what entered it is the last symbol, what left it the one before those three.
+    """
+    cost = np.full(model.shape[:3], np.inf)
+    cost[0, 0, 0] = 0.0
+    kept = []
+    for n, options in enumerate(lattice):
+        if n % STRIDE == 0:
+            kept.append(cost)
+        cost, _ = _step(cost, options, model, False)
+    ends = cost + np.where(np.arange(model.shape[2]) > 0, model[:, :, :, 0], 0.0)
+    a, b, c = (int(x) for x in np.unravel_index(ends.argmin(), ends.shape))
+    out: list[str] = []
+    for n in reversed(range(len(kept))):
+        stretch = lattice[n * STRIDE:(n + 1) * STRIDE]
+        row, came = kept[n], []
+        for options in stretch:
+            row, left = _step(row, options, model, True)
+            came.append(left)
+        for options, left in zip(reversed(stretch), reversed(came)):
+            before = int(left[a, b, c])
+            if before >= 0:
+                out.append(min((p, x) for x, p in options if x and code(x) == c)[1])
+                a, b, c = before, a, b
+    return "".join(reversed(out)).strip()
+
+
 def is_odd(word: str) -> bool:
     """Whether a lower-cased token without edge punctuation has more than one reading worth trying."""
     if word.isalpha():
