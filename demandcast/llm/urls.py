@@ -18,12 +18,18 @@ from demandcast.session import local_table, materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-CANONICAL_TAG = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-REFRESH_TAG = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+# A tag ends at its first ">", and one that another "<" or the end of the page cuts off is none; so no search runs past a tag.
+CANONICAL_TAG = r"(?is)<link\b[^<>]*\brel\s*=\s*[\"']?canonical\b[^<>]*>"
+REFRESH_TAG = r"(?is)<meta\b[^<>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^<>]*>"
 HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
+def closed(pattern: str) -> str:
+    """The same tags for an engine that backtracks: whether the tag is closed is seen before anything in it is tried."""
+    return pattern.replace(r"\b[^<>]*", r"\b(?=[^<>]*+>)[^<>]*", 1)
+
+
 def rule_table(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFrame:
     """Rules from (action, "host/path") pairs; the action is allow or block."""
     rows = [(a, *r.partition("/")[::2]) for a, r in rules]
@@ -69,8 +75,8 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     u, h = F.col(f"`{url}`"), F.col(f"`{html}`")
     links = pages.where(h.isNotNull() & u.isNotNull()).select(
         u.alias("src_url"),
-        F.regexp_extract(F.regexp_extract(h, CANONICAL_TAG, 0), HREF, 1).alias("c"),
-        F.regexp_extract(F.regexp_extract(h, REFRESH_TAG, 0), REFRESH_URL, 1).alias("r"))
+        F.regexp_extract(F.regexp_extract(h, closed(CANONICAL_TAG), 0), HREF, 1).alias("c"),
+        F.regexp_extract(F.regexp_extract(h, closed(REFRESH_TAG), 0), REFRESH_URL, 1).alias("r"))
     return links.where("c <> '' OR r <> ''").select(
         "src_url", F.explode(F.array("c", "r")).alias("t")).select(
         "src_url", resolve(F.col("t"), F.col("src_url")).alias("dst_url")).where("dst_url IS NOT NULL")
