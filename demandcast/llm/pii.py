@@ -49,6 +49,8 @@ AGAINST = r"version|isbn|issue|page|section|figure|chapter|example\s*$|\bv\s*$|#
 LABELERS = ("pattern", "gazetteer", "context", "shape")
 BEFORE = 40
 ROUNDS = 50
+#: Matches of a text that are listed together.
+SPANS_AT = 128
 
 
 def raw_spans(text: Column, kind: str) -> Column:
@@ -66,7 +68,19 @@ def raw_spans(text: Column, kind: str) -> Column:
                             F.right(s["p"][i], F.lit(BEFORE)).alias("before"))
             return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(s["h"]) - 1), F.struct(F.lit(0).alias("at"), empty.alias("out")), add)["out"]
+        # Matches in blocks: only a block's own list is copied for each of its matches, and a block starts where the sums of
+        # the blocks before it end.
+        n = F.size(s["h"])
+        blocks = F.sequence(F.lit(0), F.floor((n - 1) / SPANS_AT).cast("int"))
+
+        def inside(b: Column) -> Column:
+            return F.sequence(b * SPANS_AT, F.least((b + 1) * SPANS_AT, n) - 1)
+
+        sums = F.transform(blocks, lambda b: F.aggregate(inside(b), F.lit(0), lambda t, i: t + F.length(s["p"][i]) + F.length(s["h"][i])))
+        begins = F.aggregate(sums, F.array(F.lit(0)), lambda t, x: F.concat(t, F.array(F.element_at(t, -1) + x)))
+        # One element again, so that the beginnings are found once.
+        return F.flatten(F.transform(F.array(begins), lambda at: F.flatten(F.transform(blocks, lambda b: F.aggregate(
+            inside(b), F.struct(at[b].alias("at"), empty.alias("out")), add)["out"]))))
 
     # The one-element array binds both lists once for all steps.
     both = F.array(F.struct(pieces.alias("p"), hits.alias("h")))
