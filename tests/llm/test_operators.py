@@ -600,3 +600,81 @@ def test_a_small_language_keeps_its_strings_next_to_a_large_one(spark):
     alone = langid.train(spark.createDataFrame(small, "doc_id long, text string, lang string"))
     data = langid.normal("zorvek quiblat")
     assert both.bits(data)[list(both.langs).index("xx")] == pytest.approx(alone.bits(data)[0])
+
+
+# --- long and hostile texts -----------------------------------------------------------------
+
+def test_masked_tokens_decode_alike_on_arrays():
+    """Array decoding gives readings of the same cost as the plain search, and a long masked token ends soon."""
+    import time
+
+    rng = random.Random(3)
+    counts = np.zeros(toxicity.SYMBOLS ** 4)
+    for w in ["idiot", "stupid", "moron", "clean", "word"] * 20 + words(7, 200):
+        c = [0, 0, 0] + [toxicity.code(x) for x in w] + [0]
+        for i in range(len(c) - 3):
+            counts[((c[i] * 28 + c[i + 1]) * 28 + c[i + 2]) * 28 + c[i + 3]] += 1
+    model = toxicity.char_model(counts)
+
+    def cheapest(token):
+        best = {(0, 0, 0): 0.0}
+        for options in toxicity.readings(token):
+            new = {}
+            for (a, b, c), cost in best.items():
+                for x, p in options:
+                    k, t = ((a, b, c), cost + p) if x == "" or (x == " " and c == 0) else ((b, c, toxicity.code(x)), cost + p + float(model[a, b, c, toxicity.code(x)]))
+                    new[k] = min(t, new.get(k, np.inf))
+            best = new
+        return min(t + (float(model[a, b, c, 0]) if c else 0.0) for (a, b, c), t in best.items())
+
+    def cost_of(token, reading):
+        """Least cost of the lattice paths that spell the reading."""
+        best = {(0, 0, 0, ""): 0.0}
+        for options in toxicity.readings(token):
+            new = {}
+            for (a, b, c, done), cost in best.items():
+                for x, p in options:
+                    k, t = ((a, b, c, done), cost + p) if x == "" or (x == " " and c == 0) else ((b, c, toxicity.code(x), done + x), cost + p + float(model[a, b, c, toxicity.code(x)]))
+                    if (reading + " ").startswith(k[3]):
+                        new[k] = min(t, new.get(k, np.inf))
+            best = new
+        return min(t + (float(model[a, b, c, 0]) if c else 0.0) for (a, b, c, done), t in best.items() if done.strip() == reading)
+
+    tokens = ["st*p*d", "*d**t", "1d*0t", "m-o-r*n", "é*t*x", "c1*an", "a*-*b", "w0r*!*"] + ["".join(rng.choice("ab1*-$o.") for _ in range(7)) for _ in range(12)]
+    for token in tokens:
+        got = toxicity.restore_dense(toxicity.readings(token), model)
+        assert cost_of(token, got) == pytest.approx(cheapest(token), abs=1e-4), token
+    began = time.time()
+    assert toxicity.restore("a" + "*-" * 1_000 + "b", model)
+    assert time.time() - began < 20
+
+
+def test_many_matches_and_open_tags_take_linear_time(spark):
+    import time
+
+    text = " ".join(f"u{i}@ex.com" for i in range(40_000))
+    began = time.time()
+    row = pii.summary(spark.createDataFrame([(1, text), (2, "a@b.c 1.2.3.4")], "doc_id long, text string")).where("doc_id = 1").first()
+    assert row.n_email == 40_000 and time.time() - began < 60
+    at = [text.index("u39999@"), len(text)]
+    assert row.spans.rsplit(",", 1)[1] == f"email:{at[0]}:{at[1]}"
+    from demandcast.llm.queries import URL_RULES
+
+    html = ["<link rel='canonical' " * 60_000, "<meta http-equiv=refresh " * 60_000, "<link " + "rel=canonical " * 60_000, "<link " * 50_000 + "<link rel=canonical href='http://b.net/x'>"]
+    pages = spark.createDataFrame([(i, f"http://a{i}.com/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    began = time.time()
+    got = {r.page_id: r.verdict for r in urls.judge(pages, urls.rule_table(spark, URL_RULES)).collect()}
+    assert got == {0: "allow", 1: "allow", 2: "allow", 3: "block"} and time.time() - began < 60
+
+
+def test_very_long_texts_everywhere(spark):
+    """A text of five million characters among small ones, in every operator that reads documents."""
+    long = " ".join(words(1, 1_000)) + "\n"
+    texts = [long * 900, "a few words here", None, ""]
+    df = frame(spark, texts)
+    assert neardup.near_duplicates(df).count() == 4
+    assert decontam.contained_items(df, spark.createDataFrame([(1, " ".join(words(1, 40)))], "item_id long, text string")).count() == 1
+    lines = linededup.line_components(df).groupBy("doc_id").agg(F.sum(F.col("kept").cast("int")).alias("n")).collect()
+    assert {r.doc_id: r.n for r in lines} == {0: 2, 1: 1, 2: 1, 3: 1}
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")
+    assert toxicity.score(df, toxicity.train(df, labels), keep=["doc_id"]).count() == 4
