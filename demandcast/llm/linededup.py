@@ -134,45 +134,39 @@ def comparable(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: i
 
 
 def line_table(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(id, line_no, digest): every line; a NULL digest marks blank lines."""
+    """(id, line_no, digest, keys): every line; a NULL digest marks blank lines.
+
+    ``keys`` are the band keys of a line of a shingle or more that is not blank, empty where the task
+    remembers that it gave them before.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for at, texts in _groups(batch.column(1)):
                 chars = codes(texts)
-                starts, ends, digest = lines_of(chars)
+                sums = rolling(chars)
+                starts, ends, digest = lines_of(chars, sums)
                 counts = np.array([t.count("\n") + 1 for t in texts])
                 ids = np.repeat(np.arange(len(texts)), counts)
                 number = np.arange(len(ids)) - np.repeat(np.cumsum(counts) - counts, counts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)).take(pa.array(ids)), pa.array(number.astype(np.int32)),
-                     pa.array(digest, mask=~comparable(chars, starts, ends))], ["id", "line_no", "digest"])
-
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
-    return map_arrow(rows, run, "id bigint, line_no int, digest bigint")
-
-
-def _buckets(docs: DataFrame, text: str) -> DataFrame:
-    """(band_key, digest) of every line of a shingle or more that is not blank; repeats that a task remembers are dropped."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in batches:
-            for _, texts in _groups(batch.column(0)):
-                chars = codes(texts)
-                sums = rolling(chars)
-                starts, ends, digest = lines_of(chars, sums)
-                fine = np.flatnonzero(comparable(chars, starts, ends, WIDTH))
+                known = comparable(chars, starts, ends)
+                fine = np.flatnonzero(known & (ends - starts >= WIDTH))
                 fine = fine[np.unique(digest[fine], return_index=True)[1]]
                 fine.sort()
                 if len(seen) > 500_000:
                     seen.clear()
                 fine = fine[[x not in seen for x in digest[fine].tolist()]] if len(fine) else fine
                 seen.update(digest[fine].tolist())
-                if len(fine):
-                    keys = band_keys(sums, starts[fine], ends[fine])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.reshape(-1)), pa.array(np.repeat(digest[fine], BANDS))], ["k", "digest"])
+                sizes = np.zeros(len(ids) + 1, np.int32)
+                sizes[fine + 1] = BANDS
+                keys = band_keys(sums, starts[fine], ends[fine]).reshape(-1) if len(fine) else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)).take(pa.array(ids)), pa.array(number.astype(np.int32)),
+                     pa.array(digest, mask=~known), pa.ListArray.from_arrays(np.cumsum(sizes, dtype=np.int32), pa.array(keys))],
+                    ["id", "line_no", "digest", "keys"])
 
-    return map_arrow(docs.select(F.col(f"`{text}`").alias("t")).where("t IS NOT NULL"), run, "k bigint, digest bigint")
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("t"))
+    return map_arrow(rows, run, "id bigint, line_no int, digest bigint, keys array<bigint>")
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
@@ -230,9 +224,9 @@ def _wanted_bits(pairs: DataFrame) -> np.ndarray:
     """Bitmap of hashed digests in question: 2^FILTER_BITS bits at most reach the driver."""
     slot = F.expr(f"(a_ >> 20) & {(1 << FILTER_BITS) - 1}")
     words = pairs.select(F.explode(F.array("a", "b")).alias("a_")).select(slot.alias("s")).groupBy(F.expr("s >> 6").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("b")).toPandas()
+        F.bit_or(F.expr("shiftleft(1L, CAST(s & 63 AS INT))")).alias("b")).toArrow()
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64)
+    bits[words["w"].to_numpy()] = words["b"].to_numpy()
     return bits.view(_U)
 
 
@@ -368,9 +362,9 @@ def _links_across(crowd: DataFrame, texts: DataFrame, similarity: float) -> Data
     return map_arrow(rows.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j"), run, "a bigint, b bigint").distinct()
 
 
-def linked_lines(docs: DataFrame, text: str = "text", similarity: float = 0.8) -> DataFrame:
-    """(digest, component) of the distinct lines that are linked with another one."""
-    found = materialise(_candidates(_buckets(docs, text)))
+def linked_lines(lines: DataFrame, docs: DataFrame, text: str = "text", similarity: float = 0.8) -> DataFrame:
+    """(digest, component) of the distinct lines that are linked with another one; ``lines`` is the line table of ``docs``."""
+    found = materialise(_candidates(lines.select(F.explode("keys").alias("k"), "digest")))
     pairs = materialise(found.where("b IS NOT NULL").select("a", "b").distinct())
     texts = materialise(_texts(docs, text, pairs))
     links = materialise(_confirmed(pairs, texts, similarity))
@@ -407,7 +401,7 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     are linked when they are equal. Blank lines are never compared and always kept. Lines of a NULL key come after all others.
     """
     lines = materialise(line_table(docs, text, key))
-    groups = linked_lines(docs, text, similarity)
+    groups = linked_lines(lines, docs, text, similarity)
     place = F.struct(F.col("id").isNull().alias("last"), "id", "line_no")
     per_line = lines.where("digest IS NOT NULL").groupBy("digest").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("n"))
     placed = per_line.join(groups, "digest", "left")
