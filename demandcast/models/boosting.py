@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ BUCKET_ROWS = 16_384
 #: Rows that both sides of a split need (sums of second derivatives where these are not 1).
 LEAST = 20.0
 SHRINK = 1.0
+#: Bytes of all tasks' sums of one level that the driver may add up by itself.
+DRIVER_BYTES = 64 << 20
 
 
 @dataclass
@@ -127,8 +130,12 @@ def trained_on(fit: Fit, days: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return np.flatnonzero((days <= fit.end - fit.h) & ~np.isnan(labels[:, fit.h - 1]))
 
 
-def _summed(parts: DataFrame, run: Callable, schema: str) -> list:
-    """Per fit: add up the tasks' arrays and hand the sum to ``run``, on the executors."""
+def _summed(parts: DataFrame, run: Callable, schema: str, size: int, tasks: int) -> list:
+    """Per fit: add up the tasks' arrays and hand the sum to ``run``.
+
+    Arrays are added on the executors, or on the driver where all of them together, tasks times ``size`` bytes, are small: a
+    stage less for each level of each tree, with the same result.
+    """
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -138,6 +145,8 @@ def _summed(parts: DataFrame, run: Callable, schema: str) -> list:
         for k, whole in total.items():
             yield run(k, whole)
 
+    if size * tasks <= DRIVER_BYTES:
+        return [SimpleNamespace(**row) for batch in add(iter(parts.toArrow().to_batches())) for row in batch.to_pylist()]
     return map_arrow(parts.repartition("fit"), add, schema).collect()
 
 
@@ -158,9 +167,10 @@ def start(table: DataFrame, fits: Sequence[Fit], n_features: int, n_labels: int)
     return [f for f in fits if f.base is not None]
 
 
-def level_splits(table: DataFrame, shared, level: int, depth: int, n_features: int, n_labels: int, n_bins: int, least: float) -> list:
+def level_splits(table: DataFrame, shared, level: int, depth: int, n_features: int, n_labels: int, n_bins: int, least: float, tasks: int) -> list:
     """Best split of every node of a level, for all fits. ``shared`` holds the fits and their open trees."""
     nodes = 1 << level
+    size = sum(16 * nodes * len(f.features) * n_bins for f in shared.value[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fits, open_ = shared.value
@@ -178,10 +188,10 @@ def level_splits(table: DataFrame, shared, level: int, depth: int, n_features: i
                     own, g, node, h = own[here], g[here], node[here], None if h is None else h[here]
                 w = len(fit.features)
                 cell = (node[:, None] * w + np.arange(w)) * n_bins + own
-                size = nodes * w * n_bins
+                cells = nodes * w * n_bins
                 flat = cell.reshape(-1)
-                sums[k][:size] += np.bincount(flat, np.repeat(g, w), size)
-                sums[k][size:] += np.bincount(flat, None if h is None else np.repeat(h, w), size)
+                sums[k][:cells] += np.bincount(flat, np.repeat(g, w), cells)
+                sums[k][cells:] += np.bincount(flat, None if h is None else np.repeat(h, w), cells)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(fits)), pa.int32()), pa.array([s.tobytes() for s in sums], pa.binary())], ["fit", "sums"])
 
     def best(k: int, total: np.ndarray) -> pa.RecordBatch:
@@ -199,7 +209,7 @@ def level_splits(table: DataFrame, shared, level: int, depth: int, n_features: i
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["fit", "node", "feature", "bin", "gain", "g", "h", "gl", "hl"])
 
     return _summed(map_arrow(table, run, "fit int, sums binary"), best,
-                   "fit int, node int, feature int, bin int, gain double, g double, h double, gl double, hl double")
+                   "fit int, node int, feature int, bin int, gain double, g double, h double, gl double, hl double", size, tasks)
 
 
 def boost(table: DataFrame, fits: Sequence[Fit], n_features: int, n_labels: int, n_bins: int, rounds: int = 20, depth: int = 4,
@@ -209,12 +219,13 @@ def boost(table: DataFrame, fits: Sequence[Fit], n_features: int, n_labels: int,
     fits = start(table, fits, n_features, n_labels)
     gains = np.zeros((len(fits), n_features))
     size = (2 << depth) - 1
+    tasks = table.rdd.getNumPartitions() if fits else 0
     for turn in range(rounds if fits else 0):
         step = 1.0 if turn == 0 else rate
         trees = [(np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)) for _ in fits]
         for level in range(depth):
             shared = sc.broadcast((fits, trees))
-            found = level_splits(table, shared, level, depth, n_features, n_labels, n_bins, least)
+            found = level_splits(table, shared, level, depth, n_features, n_labels, n_bins, least, tasks)
             shared.destroy()
             for r in found:
                 feature, threshold, value = trees[r.fit]

@@ -206,6 +206,15 @@ def test_boosting_is_causal_and_deterministic(spark):
     assert np.allclose(a, b) and np.allclose(a, c)
 
 
+def test_sums_are_the_same_wherever_they_are_added(spark, monkeypatch):
+    p = planted_features(spark, 3, 200).cache()
+    o = splits.rolling_origins(p, 2, 7)
+    take = lambda: direct.boosted_forecasts(p, o, ["drive", "n0"], max_iter=3).orderBy("origin_id", "product", "h").select("yhat", "yhat_p10").collect()
+    here = take()
+    monkeypatch.setattr(boosting, "DRIVER_BYTES", -1)
+    assert np.allclose(here, take())
+
+
 def test_objectives_and_log1p(spark):
     p = planted_features(spark, 3, 200).cache()
     o = splits.rolling_origins(p, 1, 7)
