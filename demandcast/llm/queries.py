@@ -52,7 +52,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ids_sha="ids_sha256", decoded_sha="decoded_sha256")
 
 
-@query("op3_minhash_near_dedup")
+def _sql_shingles(text: str) -> str:
+    """Distinct five-word shingles of a text, the whole sequence where it has fewer words."""
+    words = f"list_filter(regexp_split_to_array(coalesce(translate({text}, '{urls.UPPER}', '{urls.LOWER}'), ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+    return (f"list_transform([{words}], lambda w: CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] "
+            "ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END)[1]")
+
+
+#: Links on full sets, then the smallest document that links lead to.
+NEAR_SQL = f"""WITH RECURSIVE sets AS MATERIALIZED (SELECT doc_id, {_sql_shingles('text')} AS s FROM documents WHERE doc_id IS NOT NULL),
+each_ AS MATERIALIZED (SELECT doc_id, hash(unnest(s)) AS h FROM sets), many AS (SELECT h FROM each_ GROUP BY h HAVING count(*) > 1),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM (SELECT * FROM each_ JOIN many USING (h)) a JOIN (SELECT * FROM each_ JOIN many USING (h)) b
+ ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT x, y FROM shared JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)),
+reach AS (SELECT x AS doc, y AS other FROM links UNION SELECT reach.doc, links.y FROM reach JOIN links ON reach.other = links.x)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(sets.doc_id, coalesce(m.least_, sets.doc_id)) AS component_id,
+ sets.doc_id <= coalesce(m.least_, sets.doc_id) AS kept FROM sets LEFT JOIN (SELECT doc, min(other) AS least_ FROM reach GROUP BY doc) m ON m.doc = sets.doc_id"""
+
+
+@query("op3_minhash_near_dedup", NEAR_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by an LSH forest."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -96,7 +114,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("log_score", "mean_score")})
 
 
-@query("op8_decontamination")
+CONTAINED_SQL = f"""WITH items AS MATERIALIZED (SELECT item_id, {_sql_shingles('text')} AS s FROM benchmark WHERE text IS NOT NULL),
+parts AS (SELECT item_id, len(s) AS n, hash(unnest(s)) AS h FROM items),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS d, doc_id, {_sql_shingles('text')} AS s FROM documents WHERE doc_id IS NOT NULL),
+own AS (SELECT d, doc_id, hash(unnest(s)) AS h FROM docs),
+found AS (SELECT doc_id, d, item_id, n, count(*) AS k FROM own JOIN parts USING (h) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(arg_max(n, k / n) AS INTEGER) AS n_item, CAST(arg_max(k, k / n) AS INTEGER) AS n_shared, max(k / n) AS containment
+FROM found WHERE k / n >= 0.8 - 1e-12 GROUP BY doc_id, item_id"""
+
+
+@query("op8_decontamination", CONTAINED_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(document, test item) pairs with at least four fifths of the item's shingles in the document."""
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
