@@ -76,7 +76,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op4_embedding_near_dedup")
+COSINE_SQL = """WITH RECURSIVE vectors AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+ WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+units AS MATERIALIZED (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM vectors WHERE list_inner_product(e, e) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM units a JOIN units b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+ AND list_inner_product(a.e, b.e) >= 0.9 * a.n * b.n),
+reach AS (SELECT x AS v, y AS other FROM links UNION SELECT reach.v, links.y FROM reach JOIN links ON reach.other = links.x),
+least_ AS (SELECT v, min(other) AS m FROM reach GROUP BY v), counted AS (SELECT x, count(*) AS k FROM links GROUP BY x)
+SELECT vec_id, coalesce(k, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN least_ ON v = vec_id LEFT JOIN counted ON x = vec_id"""
+
+
+@query("op4_embedding_near_dedup", COSINE_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Direct links and components of all embeddings at cosine 0.9."""
     return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
