@@ -13,9 +13,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import connected_components
+from demandcast.llm.common import connected_components, hash_filter, keep_possible
 from demandcast.session import local_table, materialise
 
+#: Up to this many rules travel with the plan and are looked up row by row; more are joined by host.
+INLINE_RULES = 256
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # A tag ends at its first ">", and one that another "<" or the end of the page cuts off is none; so no search runs past a tag.
@@ -82,27 +85,52 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         "src_url", resolve(F.col("t"), F.col("src_url")).alias("dst_url")).where("dst_url IS NOT NULL")
 
 
+def _suffixes(host: Column, depth: int) -> Column:
+    """The host's last labels, 1 to ``depth`` of them, joined by dots; none of an empty host."""
+    labels = F.split(host, r"\.")
+    first = F.greatest(F.lit(1), F.size(labels) - depth + 1)
+    tail = F.slice(labels, first, F.size(labels))
+    return F.when(host != "", F.transform(F.sequence(F.lit(1), F.size(tail)),
+                                          lambda i: F.array_join(F.slice(tail, i, F.size(tail)), ".")))
+
+
 def _rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     """Each distinct host with the rules of its suffixes; a host sees only its own chain of rules."""
-    labels = F.split("host", r"\.")
-    suffixes = hosts.select("host").distinct().where("host <> ''").select(
-        "host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)),
-                                      lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("rule_host"))
+    depth = rules.agg(F.max(F.size(F.split("rule_host", r"\.")))).first()[0]
+    suffixes = hosts.select("host").distinct().select("host", F.explode(_suffixes(F.col("host"), depth)).alias("rule_host"))
     rule = F.struct((F.length("rule_host") + F.length("rule_path")).alias("n"), (F.col("action") == "allow").alias("allow"),
                     F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_path").alias("path"))
-    return suffixes.join(rules.where("rule_host IS NOT NULL AND rule_path IS NOT NULL AND action IS NOT NULL"),
-                         "rule_host").groupBy("host").agg(F.collect_set(rule).alias("_rules"))
+    return suffixes.join(rules, "rule_host").groupBy("host").agg(F.collect_set(rule).alias("_rules"))
+
+
+def _rules_of(host: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
+    """Rules of a host's suffixes, looked up in a constant map of (action, rule_host, rule_path)."""
+    if not rules:
+        return F.lit(None).cast("array<struct<n:int,allow:boolean,rule:string,path:string>>")
+    chains: dict[str, list[Column]] = {}
+    for action, of, path in rules:
+        chains.setdefault(of, []).append(F.struct(
+            F.lit(len(of) + len(path)).alias("n"), F.lit(action == "allow").alias("allow"), F.lit(of + path).alias("rule"), F.lit(path).alias("path")))
+    known = F.create_map(*[c for of, chain in chains.items() for c in (F.lit(of), F.array(*chain))])
+    depth = max(of.count(".") + 1 for of in chains)
+    found = F.transform(_suffixes(host, depth), lambda s: F.element_at(known, s))
+    return F.flatten(F.filter(found, lambda x: x.isNotNull()))
 
 
 def match_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Add ``rule`` and ``action`` of the longest fitting rule to rows with ``host`` and ``path``.
 
-    Of rules of one length an allow goes first, then the later in order. Hosts are matched once
-    each, so a host with a third of all pages costs no more than any other.
+    Of rules of one length an allow goes first, then the later in order. Up to ``INLINE_RULES`` rules are looked up
+    where the row is, without an exchange; with more, hosts are matched once each and joined back, and AQE splits a
+    host with a third of all pages. Only a host's last labels, as many as the deepest rule has, are looked at.
     """
-    by_host = _rules_by_host(rows, rules)
+    rules = rules.select("action", "rule_host", "rule_path").where(
+        "rule_host IS NOT NULL AND rule_path IS NOT NULL AND action IS NOT NULL").distinct()
+    few = [tuple(r) for r in rules.limit(INLINE_RULES + 1).collect()]
+    found = rows.withColumn("_rules", _rules_of(F.col("host"), few)) if len(few) <= INLINE_RULES else rows.join(
+        _rules_by_host(rows, rules), "host", "left")
     best = F.array_max(F.filter("_rules", lambda r: F.col("path").startswith(r["path"])))
-    return rows.join(by_host, "host", "left").withColumn("_best", best).select(
+    return found.withColumn("_best", best).select(
         *rows.columns, F.col("_best.rule").alias("rule"),
         F.when(F.col("_best.allow"), "allow").when(F.col("_best.rule").isNotNull(), "block").alias("action"))
 
@@ -116,8 +144,8 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
     allowed if an alias is explicitly allowed, else blocked if an alias is blocked, else
     allowed; an alias that was never fetched counts through its own rule. A NULL address or one
     without ``://`` has an empty host and path, no aliases and is allowed. Repeated rows are
-    each returned. Pages without links cost one scan and the rule match: components are found
-    over the linked addresses only.
+    each returned. Components are found over the linked addresses only; pages with a rule, and those whose address a
+    filter of fixed size clears, are not shuffled.
     """
     u = F.col(f"`{url}`")
     base = pages.select(F.col(f"`{key}`").alias(key), host_of(u).alias("host"), path_of(u).alias("path"), node_of(u).alias("_node"))
@@ -133,6 +161,11 @@ def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None
         node_of(F.col("u")).alias("node"), host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path")).distinct()
     decisions = match_rules(ends, rules).where("action IS NOT NULL").join(groups, "node").groupBy("component").agg(
         F.min("action").alias("spread"))  # allow sorts before block
-    aliases = groups.join(decisions, "component").select(F.col("node").alias("_node"), "spread")
-    return judged.join(aliases, "_node", "left").select(
-        key, "host", "path", "rule", F.coalesce("action", "spread", F.lit("allow")).alias("verdict"))
+    aliases = materialise(groups.join(decisions, "component").select(F.col("node").alias("_node"), "spread"))
+    flt = hash_filter(aliases, "_node")
+    open_ = judged.where("action IS NULL")
+    spread = keep_possible(open_, "_node", flt).join(aliases, "_node", "left")
+    alone = judged.where("action IS NOT NULL").unionByName(keep_possible(open_, "_node", flt, others=True))
+    verdict = F.coalesce("action", "spread", F.lit("allow")).alias("verdict")
+    return spread.select(key, "host", "path", "rule", verdict).unionByName(
+        alone.withColumn("spread", F.lit(None).cast("string")).select(key, "host", "path", "rule", verdict))

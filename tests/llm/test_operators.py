@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -586,6 +587,38 @@ def test_rules_and_aliases(spark):
     assert urls.judge(df.limit(0), urls.rule_table(spark, URL_RULES)).count() == 0
 
 
+def _best_rule(host, path, rules):
+    """Longest fitting rule by plain Python; an allow first, then the later in order."""
+    fits = [(len(h) + len(p), a == "allow", h + p) for a, h, p in rules
+            if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[2] if fits else None
+
+
+def test_rules_looked_up_and_joined_agree(spark, monkeypatch):
+    names = ["net", "a.net", "b.a.net", "org", "x.org", "y.x.org"]
+    rules = [("allow" if (i + j) % 3 else "block", f"{h}/{p}") for i, h in enumerate(names) for j, p in enumerate(["", "d", "d/e", "f"])]
+    rules += [("block", "a.net/d"), ("allow", "a.net/d")]
+    rows = [(i, f"{s}{h}", p) for i, (s, h, p) in enumerate((s, h, p) for s in ("", "q.", "q.r.", "z") for h in [*names, "com", ""] for p in ("/", "/d", "/d/e/x", "/f", ""))]
+    df = spark.createDataFrame(rows, "i int, host string, path string")
+    table = urls.rule_table(spark, rules)
+    split = [(a, r.partition("/")[0], "/" + r.partition("/")[2]) for a, r in rules]
+    wanted = {i: _best_rule(h, p, split) for i, h, p in rows}
+    assert {r.i: r.rule for r in urls.match_rules(df, table).collect()} == wanted
+    monkeypatch.setattr(urls, "INLINE_RULES", 5)
+    joined = urls.match_rules(df, table).collect()
+    assert {r.i: r.rule for r in joined} == wanted and len(joined) == len(rows)
+    assert {r.action for r in urls.match_rules(df, table.limit(0)).collect()} == {None}
+
+
+def test_a_common_host_is_not_exchanged_and_a_long_one_is_cut(spark):
+    rules = urls.rule_table(spark, [("block", "b.net/")])
+    hosts = [(i, "www.b.net", f"/{i}") for i in range(500)] + [(500, "a." * 200_000 + "b.net", "/"), (501, "." * 200_000, "/")]
+    found = urls.match_rules(spark.createDataFrame(hosts, "i int, host string, path string"), rules)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    began = time.time()
+    assert {r.i for r in found.where("action = 'block'").collect()} == set(range(501)) and time.time() - began < 30
+
+
 def test_redirect_table_adds_edges(spark):
     pages = spark.createDataFrame([(1, "http://a.com/"), (2, "http://b.com/")], "page_id long, url string").withColumn("html", F.lit(None).cast("string"))
     hops = spark.createDataFrame([("http://a.com/", "http://h.com/"), ("http://h.com/", "http://bad.net/"), (None, "x")], "src_url string, dst_url string")
