@@ -546,6 +546,39 @@ def test_viterbi_is_the_best_reading(toxic):
         assert " ".join("".join(x for x, _ in best).split()) == " ".join(toxicity.restore(token, model).split())
 
 
+def test_lexicon_and_scores_by_brute_force(spark, toxic):
+    """Every entry, weight and score of plain texts against counts in plain Python."""
+    import math
+
+    model, _, frame_ = toxic
+    docs = [(r.doc_id, r.text.split()) for r in frame_.collect()]
+    forms = {w: {w} | {f"{w[:n]}~" for n in toxicity.STEMS if len(w) > n} for _, words in docs for w in words}
+    seen = {}
+    for i, words in docs:
+        for e in set().union(*(forms[w] for w in words)):
+            seen.setdefault(e, [0, 0])[i % 4 == 0] += 1
+    n1 = sum(i % 4 == 0 for i, _ in docs)
+    n0, share = len(docs) - n1, n1 / len(docs)
+    often = {e: (a, b) for e, (b, a) in seen.items() if a >= 3}
+    wanted = {}
+    for e, (a, b) in often.items():
+        odds = math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
+        g2 = 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0.0))
+        if odds > 1 and g2 > 2 * math.log(max(len(often), 10)) + 6:
+            wanted[e] = odds
+    assert model.lexicon == pytest.approx(wanted, rel=1e-12) and {"grumpkin", "stoatface", "wazzock"} <= set(wanted)
+
+    def of(words):
+        found = [w for w in (max((wanted.get(e, 0.0) for e in forms[x]), default=0.0) for x in set(words)) if w > 0]
+        e = (max(found, default=0.0), math.log1p(sum(found)), math.log1p(100 * sum(found) / max(len(set(words)), 20)))
+        return 1 / (1 + math.exp(-(model.weights[0] + sum(b * x for b, x in zip(model.weights[1:], e)))))
+
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(frame_, model).collect()}
+    scores = {i: of(words) for i, words in docs}
+    assert {i: s for i, (s, _) in got.items()} == pytest.approx(scores, rel=1e-9)
+    assert all(p == (scores[i] >= 0.7) for i, (_, p) in got.items())
+
+
 def test_scores_catch_obfuscation_and_leave_clean_texts(spark, toxic):
     model, good, _ = toxic
     clean = " ".join(good[:60])
