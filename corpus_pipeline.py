@@ -2,6 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept. ``run``
 writes each result as Parquet to the shared folder and reads it again for the next stage.
+Stages with Python workers exchange small batches with them, so that an executor's memory holds through all five.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandcast.llm import bpe, decontam, langid, linededup, neardup
-from demandcast.llm.common import drop_keys, table
+from demandcast.llm.common import drop_keys, small_batches, table
 from demandcast.session import materialise
 
 #: Bits per byte above which even the best language does not explain a text (random bytes take 8).
@@ -20,6 +21,7 @@ FOREIGN_BITS = 6.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that have no letters or that no learned language explains."""
+    small_batches(spark)
     model = langid.train(docs)
     seen = langid.identify(docs, model, lang_pred="_lang", score="_score", bits="_bits")
     return seen.where((F.col("_lang") != langid.UNDETERMINED) & (F.col("_bits") <= FOREIGN_BITS)).select(*[seen[f"`{c}`"] for c in docs.columns])
@@ -27,12 +29,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without lines that repeat an earlier one; documents made of such lines only are dropped."""
+    small_batches(spark)
     kept = linededup.dedup_documents(docs)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, Jaccard 0.8)."""
+    small_batches(spark)
     groups = neardup.near_duplicates(docs, percent=80)
     return drop_keys(docs, "doc_id", groups.where("NOT kept").select("doc_id"))
 
@@ -44,6 +48,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document instead of its text, with the digest of the bytes they decode to."""
+    small_batches(spark)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN,
                       keep=[c for c in docs.columns if c != "text"], ids="ids", decoded_sha="decoded_sha256")
 
