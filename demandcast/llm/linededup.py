@@ -50,7 +50,8 @@ _BACK = _U(pow(0xD1342543DE82EF95, -1, 1 << 64))
 
 def codes(texts: list[str]) -> np.ndarray:
     """Code points of lower-cased texts, joined by line ends."""
-    return np.frombuffer("\n".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    # Text by text, as the ASCII ones among them are lower-cased several times faster; no rule of lower case looks past a line end.
+    return np.frombuffer("\n".join([t.lower() for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 @lru_cache(maxsize=2)
@@ -62,12 +63,14 @@ def rolling(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of a polynomial hash and what brings a difference of them to position 0."""
     n = len(chars)
     power, back = _powers(max(CHUNK + CHUNK // 4, 1 << (n - 1).bit_length() if n else 1))
-    value = _VALUE[np.minimum(chars, 0xFFFF)]
-    far = np.flatnonzero(chars > 0xFFFF)
-    value[far] = mix(chars[far].astype(_U) * _ODD + _U(1))
     total = np.zeros(n + 1, _U)
+    value = total[1:]
+    _VALUE.take(chars, out=value, mode="clip")
+    if n and chars.max() > 0xFFFF:
+        far = np.flatnonzero(chars > 0xFFFF)
+        value[far] = mix(chars[far].astype(_U) * _ODD + _U(1))
     value *= power[:n]
-    np.cumsum(value, out=total[1:])
+    np.cumsum(value, out=value)
     return total, back
 
 
@@ -129,8 +132,16 @@ _BLANK[[i for i in range(0x3001) if re.match(f"[{BLANK}]", chr(i))]] = True
 
 def comparable(chars: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = SHORTEST) -> np.ndarray:
     """Whether lines have ``least`` characters or more and one that is not blank."""
-    ink = np.concatenate([[0], np.cumsum(~_BLANK[np.minimum(chars, 0x3001)])])
-    return (ends - starts >= least) & (ink[ends] > ink[starts])
+    fine = (ends - starts >= least) & (ends > starts)
+    # Few lines begin with a blank: only those are read on.
+    at = np.flatnonzero(fine)
+    at = at[_BLANK[np.minimum(chars[starts[at]], 0x3001)]]
+    if len(at):
+        counts = ends[at] - starts[at]
+        first = np.cumsum(counts) - counts
+        place = np.repeat(starts[at] - first, counts) + np.arange(counts.sum())
+        fine[at] = ~np.logical_and.reduceat(_BLANK[np.minimum(chars[place], 0x3001)], first)
+    return fine
 
 
 def line_table(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -256,23 +267,24 @@ def _texts(docs: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
 
 
 def jaccards(left: list[str], right: list[str]) -> np.ndarray:
-    """Jaccard similarity of the shingle sets of pairs of lines, fewer than 2^20 at a time.
+    """Jaccard similarity of the shingle sets of pairs of lines, fewer than 2^19 at a time.
 
-    Pair number and 44 hash bits make one integer, so a side is a sorted set by one sort.
+    Pair number, 44 hash bits and the side make one integer, so that one sort brings repeats of a side and what both share together.
     """
-    both = []
-    for side in (left, right):
-        chars = codes(side)
-        ends = np.cumsum([len(x) + 1 for x in side]) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        h, first = shingles(rolling(chars), starts, ends)
-        pair = np.repeat(np.arange(len(side), dtype=np.uint64), np.diff(np.concatenate([first, [len(h)]])))
-        both.append(distinct((pair << _U(44)) | (h >> _U(20))))
-    items = np.concatenate(both)
-    items.sort()
-    pair = (items >> _U(44)).astype(np.int64)
-    common = np.bincount(pair[1:][items[1:] == items[:-1]], minlength=len(left))
-    return common / np.maximum(np.bincount(pair, minlength=len(left)) - common, 1)
+    n = len(left)
+    lines = left + right
+    ends = np.cumsum([len(x) + 1 for x in lines]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    h, first = shingles(rolling(codes(lines)), starts, ends)
+    label = np.tile(np.arange(n, dtype=_U) << _U(45), 2)
+    label[n:] |= _U(1)
+    h >>= _U(20)
+    h <<= _U(1)
+    h |= np.repeat(label, np.diff(np.concatenate([first, [len(h)]])))
+    items = distinct(h)
+    pair = (items >> _U(45)).astype(np.int64)
+    common = np.bincount(pair[1:][(items[1:] ^ items[:-1]) == _U(1)], minlength=n)
+    return common / np.maximum(np.bincount(pair, minlength=n) - common, 1)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -406,7 +418,8 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     per_line = lines.where("digest IS NOT NULL").groupBy("digest").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("n"))
     placed = per_line.join(groups, "digest", "left")
     # A line seen once and linked with nothing is its own first line: only the others are joined back.
-    first = placed.where("n > 1 OR component IS NOT NULL")
+    # They are written, as two joins read them: every line would be aggregated for each.
+    first = materialise(placed.where("n > 1 OR component IS NOT NULL"))
     top = first.where("component IS NOT NULL").groupBy("component").agg(F.min("p").alias("top"))
     firsts = materialise(first.join(top, "component", "left").select("digest", F.coalesce("top", "p").alias("f")))
     joined = lines.join(firsts, "digest", "left")

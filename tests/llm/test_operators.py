@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -274,6 +275,50 @@ def test_short_lines_are_compared(spark):
     assert got == {k: lost.get(k, k) for k in got} and all(r.kept == ((r.doc_id, r.line_no) not in lost) for r in rows)
 
 
+def test_lines_are_aggregated_once(spark, monkeypatch):
+    plans, write = [], linededup.materialise
+    monkeypatch.setattr(linededup, "materialise", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df))
+    shared = "this line stands in both of the documents"
+    linededup.line_components(frame(spark, [f"{shared}\none", f"{shared.upper()}.\ntwo\none"])).collect()
+    assert sum(len(re.findall(r"Aggregate \[digest[^\n]*min\((?:named_)?struct", p)) for p in plans) == 1
+
+
+HOSTILE_LINES = ["", " ", "\u3000\u3000", " a", "\t\x85\xa0 x", "ab", "\U0001f600" * 9, "\u039f\u0394\u039f\u03a3", "a\u03a3", "\u0301b", "\u0130stanbul \u0130", "\ud800 x" * 4, "x" * 40]
+
+
+def test_line_codes_and_blank_lines():
+    """Lower case and blankness of hostile lines in any order, with no table over all characters for the blank ones."""
+    rng = random.Random(3)
+    for _ in range(50):
+        texts = ["\n".join(rng.choices(HOSTILE_LINES, k=rng.randrange(6))) for _ in range(rng.randrange(1, 6))]
+        chars = linededup.codes(texts)
+        assert chars.tolist() == [ord(c) for c in "\n".join(texts).lower()]
+        starts, ends, digest = linededup.lines_of(chars)
+        lines = "\n".join(texts).lower().split("\n")
+        assert [(e - s) for s, e in zip(starts, ends)] == [len(x) for x in lines]
+        assert len(set(digest.tolist())) == len(set(lines))
+        assert linededup.comparable(chars, starts, ends).tolist() == [re.fullmatch(f"[{linededup.BLANK}]*", x) is None for x in lines]
+    chars = linededup.codes(["\n".join(["a line that begins with a letter " * 8] * 2_000 + ["  "])])
+    starts, ends, _ = linededup.lines_of(chars)
+    tracemalloc.start()
+    assert linededup.comparable(chars, starts, ends).sum() == 2_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(chars)
+
+
+def test_jaccards_equal_sets_by_one_sort(monkeypatch):
+    rng = random.Random(6)
+    left = [x.lower() * 2 for x in HOSTILE_LINES if len(x) >= 4] + ["".join(rng.choices("ab ", k=rng.randrange(8, 90))) for _ in range(300)]
+    right = [rng.choice([x, x + x, x[:-1] + "q", x + "\U0001f600", rng.choice(left)]) for x in left]
+    sets = [[{x[k:k + 8] for k in range(len(x) - 7)} for x in side] for side in (left, right)]
+    sorts = []
+    monkeypatch.setattr(linededup, "distinct", lambda v, real=linededup.distinct: sorts.append(len(v)) or real(v))
+    got = linededup.jaccards(left, right)
+    assert got.tolist() == [len(a & b) / len(a | b) for a, b in zip(*sets)]
+    assert sorts == [sum(len(x) - 7 for x in left + right)]
+
+
 # --- 7: language-model scores ---------------------------------------------------------------
 
 def language_texts():
