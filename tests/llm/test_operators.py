@@ -375,6 +375,46 @@ def test_scores_of_repeated_and_keyless_rows(spark):
     assert lmscore.score(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, 3, 5])
+def test_longer_runs_are_scored_like_brute_force(spark, order):
+    """Runs of one, three and five words, texts that are shorter than them, and short texts that repeat or stand inside others."""
+    texts = language_texts() + ["one", "one", "One two", "one two three", "two one two", "nowhere else", " lone ", "a b c d", "x a b c d e", "\x0bone\ttwo ", "a b c"] + ["hot"] * 50 + ["hot one"] * 50
+    tokens = tokens_of(texts)
+    counts = ngram_counts(tokens, order)
+    want = [backoff(w, counts, sum(map(len, tokens)), order) for w in tokens]
+    for rows in (lmscore.PARTITION_ROWS, 3_000):
+        got = {r.doc_id: r for r in lmscore.score(frame(spark, texts).repartition(5), partition_rows=rows, order=order).collect()}
+        assert [got[i].n_words for i in range(len(texts))] == [len(w) for w in tokens]
+        assert not [(i, texts[i] and texts[i][:30], got[i].log_score, want[i]) for i in range(len(texts)) if abs(got[i].log_score - want[i]) > 1e-8 * max(1, abs(want[i]))]
+    tables = [lmscore.count_table(frame(spark, texts), n) for n in range(1, order + 1)]
+    against = {r.doc_id: r.log_score for r in lmscore.score_against(frame(spark, texts), tables).collect()}
+    assert all(r.log_score == pytest.approx(against[k], abs=1e-8, rel=1e-8) for k, r in got.items())
+
+
+def test_longer_runs_of_repeated_and_keyless_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b d a"), (None, "a"), (2, None), (3, "a"), (4, "d a")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.log_score) for r in lmscore.score(docs, order=3).collect()}
+    assert got == {1: (6, pytest.approx(2 * (np.log(7 / 14) + np.log(3 / 7) + np.log(2 / 3)))), 2: (0, 0.0), 3: (1, pytest.approx(np.log(7 / 14))),
+                   4: (2, pytest.approx(np.log(2 / 14) + np.log(2 / 2)))}
+    assert lmscore.score(docs.limit(0), order=3).count() == 0
+    with pytest.raises(ValueError):
+        lmscore.score(docs, order=0)
+
+
+def test_short_texts_that_many_documents_share_are_known(spark):
+    """They fill no partition, whatever their number, and shorter runs move only where a text may be one."""
+    texts = ["hot"] * 400 + [f"w{i} hot w{i + 1} u{i}" for i in range(400)] + ["cold"]
+    docs = frame(spark, texts)
+    also, short = lmscore.short_texts(docs, "text", 3, 0.05)
+    assert [len(also[n]) for n in (1, 2)] == [1, 0] and int(np.bitwise_count(short).sum()) == 2
+    known = lmscore.frequent(docs, "text", {4: 0.05, 3: 0.05}, also)
+    assert known[1]["counts"].tolist() == [800] and known[1]["total"] == 400 + 1600 + 1
+    moved = lmscore.dealt(docs, "text", "doc_id", {2: {"keys": np.empty(0, np.uint64), "counts": np.empty(0, np.int64), "total": 0}, **known}, 8, 4, short)
+    times = [t for r in moved.collect() for t, doc in zip(r.times, r.doc) if doc is None or t > 0]
+    assert len(times) == 400 + 2 * 400 + 1
+    assert lmscore.short_texts(docs.where("text LIKE '%u%'"), "text", 3, 0.05) == ({}, None)
+
+
 def test_frequent_ngrams_are_counted_exactly(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choices(["hot", "warm", *[f"w{rng.random()}" for _ in range(5)]], [9, 3, 1, 1, 1, 1, 1], k=40)) for _ in range(300)] + [None]
