@@ -401,6 +401,16 @@ def test_longer_runs_of_repeated_and_keyless_rows(spark):
         lmscore.score(docs, order=0)
 
 
+def test_small_tasks_propose_few_ngrams(spark):
+    """What a task saw once or twice is no candidate, however small the task; what has to be known always is."""
+    texts = [" ".join(["hot dog", *(f"w{i}_{j}" for j in range(40)), *(["warm up"] * 5 if i % 10 == 0 else [])]) for i in range(200)]
+    counts = ngram_counts(tokens_of(texts), 2)
+    found = lmscore.frequent(frame(spark, texts).repartition(5), "text", {2: 0.02}, more={2: 1e-4})[2]
+    often = [c for c in counts.items() if len(c[0]) == 2 and c[1] > 1]
+    assert found["counts"].sum() <= sum(c for _, c in often) and 200 in found["counts"] and len(found["keys"]) <= len(often)
+    assert 100 in found["counts"] and found["total"] == sum(c for g, c in counts.items() if len(g) == 2)
+
+
 def test_short_texts_that_many_documents_share_are_known(spark):
     """They fill no partition, whatever their number, and shorter runs move only where a text may be one."""
     texts = ["hot"] * 400 + [f"w{i} hot w{i + 1} u{i}" for i in range(400)] + ["cold"]
@@ -411,7 +421,7 @@ def test_short_texts_that_many_documents_share_are_known(spark):
     assert known[1]["counts"].tolist() == [800] and known[1]["total"] == 400 + 1600 + 1
     moved = lmscore.dealt(docs, "text", "doc_id", {2: {"keys": np.empty(0, np.uint64), "counts": np.empty(0, np.int64), "total": 0}, **known}, 8, 4, short)
     times = [t for r in moved.collect() for t, doc in zip(r.times, r.doc) if doc is None or t > 0]
-    assert len(times) == 400 + 2 * 400 + 1
+    assert len(times) == 2 * 400 + 1
     assert lmscore.short_texts(docs.where("text LIKE '%u%'"), "text", 3, 0.05) == ({}, None)
 
 
